@@ -82,3 +82,8 @@ def text_of(batch: pa.RecordBatch, column: str) -> list[str | None]:
 def words_in(column) -> F.Column:
     """Number of words of a text (null: 0)."""
     return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")
+
+
+def broadcast_if_small(table: DataFrame, most: int) -> DataFrame:
+    """The table, marked for broadcast if it has at most so many rows; it should come from a checkpoint, as it is counted."""
+    return F.broadcast(table) if table.limit(most + 1).count() <= most else table
