@@ -1,13 +1,12 @@
 """Byte-level BPE encoding and decoding with recursive DuckDB queries in each partition.
 
 A text is split by the tokenizer's pattern. Each distinct pre-token of a batch that isn't a token itself becomes
-rows (word, place, token), one for each byte. A recursive query joins every two neighbours with the merge table
-(pairs of tokens whose bytes together are a token) and contracts each word's leftmost pair of least rank, for all
-words at once, until no word has a pair. Pre-tokens beyond LONG bytes go through the same contraction one step at
-a time in a table that is replaced, and contract all occurrences of the least pair in a step: this gives the same
-tokens if a merged token ranks behind its two parts, which is checked when the ranks are read (otherwise only the
-leftmost pair is taken there, too). Decoding joins the ids with the vocabulary and concatenates the bytes by an
-ordered aggregation.
+rows (word, place, token), one for each byte. A recursive query joins neighbours with the merge table (pairs of
+tokens whose bytes together are a token) and contracts each word's leftmost pair of least rank, for all words at
+once, until no word has a pair. Pre-tokens beyond LONG bytes go through the same contraction one step at a time in
+a table that is replaced, and contract all occurrences of the least pair in a step. That gives the same tokens
+unless the merged token can be part of a token of lower rank; for those only the leftmost pair is contracted.
+Decoding joins the ids with the vocabulary and concatenates the bytes by an ordered aggregation.
 
 Encodings of pre-tokens are kept between batches, at most CACHE_WORDS; batches have a bounded number of new
 pre-tokens and ids, so that memory doesn't grow with the partition.
@@ -31,7 +30,7 @@ from pyspark.sql import types as T
 from foliospark.llm.common import append_columns, read_table, text_of
 
 LONG = 128
-CACHE_WORDS = 200_000
+CACHE_WORDS = 250_000
 #: Rows in one recursive query, and ids in one decoding query (a single text may have more).
 QUERY_BYTES = 150_000
 QUERY_IDS = 200_000
@@ -66,29 +65,45 @@ def read_ranks(lines: list[str]) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
 
-_STEP = """
-  WITH pairs AS (
-    SELECT w, p, t, lead(t) OVER o AS t2, lead(p) OVER o AS p2 FROM {source} WINDOW o AS (PARTITION BY w ORDER BY p)
-  ), least AS (
-    SELECT w, min(m.t * 4294967296 + p) AS x, arg_min(p2, m.t * 4294967296 + p) AS p2
-    FROM pairs JOIN merges m ON m.a = pairs.t AND m.b = pairs.t2 GROUP BY w
+#: Rows are tokens: n (round), w (word), g (word and place), t (token), t2, g2 (the next one), r (what t and t2 merge to).
+_RECURSIVE = """
+WITH RECURSIVE state(n, w, g, t, t2, g2, r) AS (
+  SELECT 0, w, g, words.t, t2, g2, m.t FROM words LEFT JOIN merges m ON m.ab = words.t * 65536 + t2
+  UNION ALL
+  (WITH least AS (
+    SELECT w, min(r * 1099511627776 + g) AS x FROM state WHERE r IS NOT NULL GROUP BY w
+  ), hit AS (
+    SELECT s.w, s.g, s.r AS t, s.g2 AS gone FROM state s JOIN least ON s.g = least.x % 1099511627776
+  ), merged AS (
+    SELECT h.w, h.g, h.t, h.gone, s.t2, s.g2 FROM hit h JOIN state s ON s.g = h.gone
+  ), moved AS (
+    SELECT s.n + 1 AS n, s.w, s.g, s.r, s.g = m.g OR coalesce(s.g2 = m.g, false) AS fresh,
+      CASE WHEN s.g = m.g THEN m.t ELSE s.t END AS t,
+      CASE WHEN s.g = m.g THEN m.t2 WHEN s.g2 = m.g THEN m.t ELSE s.t2 END AS t2,
+      CASE WHEN s.g = m.g THEN m.g2 ELSE s.g2 END AS g2
+    FROM state s JOIN merged m ON m.w = s.w WHERE s.g <> m.gone
   )
+  SELECT n, w, g, moved.t, t2, g2, CASE WHEN fresh THEN m.t ELSE r END
+  FROM moved LEFT JOIN merges m ON m.ab = CASE WHEN fresh THEN moved.t * 65536 + t2 END)
+), ends AS (SELECT w, max(n) AS n FROM state GROUP BY w)
+SELECT w, list(t ORDER BY g) AS ids FROM state JOIN ends USING (w, n) GROUP BY w
 """
 
-_RECURSIVE = (
-    """
-WITH RECURSIVE state(n, w, p, t) AS (
-  SELECT 0, w, p, t FROM words
-  UNION ALL
-  ("""
-    + _STEP.format(source="state")
-    + """
-  SELECT s.n + 1, s.w, s.p, CASE WHEN s.p = least.x % 4294967296 THEN least.x // 4294967296 ELSE s.t END
-  FROM state s JOIN least ON least.w = s.w WHERE s.p <> least.p2)
-), ends AS (SELECT w, max(n) AS n FROM state GROUP BY w)
-SELECT w, list(t ORDER BY p) AS ids FROM state JOIN ends USING (w, n) GROUP BY w
+_LEAST = """
+SELECT min(m.t * 1099511627776 + s.g) FROM (SELECT g, t, lead(t) OVER (ORDER BY g) AS t2 FROM state) s JOIN merges m ON m.ab = s.t * 65536 + s.t2
 """
+
+#: Contracts the pairs that merge to a token; of a chain of overlapping ones every second, from its left end.
+_CONTRACT = """
+WITH pairs AS (
+  SELECT g, t, lead(t) OVER o AS t2, lead(g) OVER o AS g2, row_number() OVER o AS i FROM state WINDOW o AS (ORDER BY g)
+), hits AS (
+  SELECT g, g2, i - row_number() OVER (ORDER BY g) AS chain FROM pairs JOIN merges m ON m.ab = pairs.t * 65536 + pairs.t2 WHERE m.t = $t AND g <= $last
+), chosen AS (
+  SELECT g, g2 FROM (SELECT g, g2, row_number() OVER (PARTITION BY chain ORDER BY g) AS k FROM hits) WHERE k % 2 = 1
 )
+SELECT s.g, CASE WHEN c.g IS NULL THEN s.t ELSE $t END AS t FROM state s LEFT JOIN chosen c ON c.g = s.g ANTI JOIN chosen d ON d.g2 = s.g
+"""
 
 
 class Codec:
@@ -98,11 +113,12 @@ class Codec:
         import duckdb
 
         self.ranks, self.split = ranks, Splitter(pattern)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "400MB"})
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "350MB"})
         self.con.execute("SET preserve_insertion_order = false")
         pairs = [(ranks[x[:i]], ranks[x[i:]], r) for x, r in ranks.items() for i in range(1, len(x)) if x[:i] in ranks and x[i:] in ranks]
-        self.ordered = all(r > max(a, b) for a, b, r in pairs if max(a, b) > 255)
-        table = pa.table({n: pa.array([x[k] for x in pairs], pa.int64()) for k, n in enumerate("abt")})
+        #: Tokens that can be part of a token of lower rank: only their leftmost pair is contracted in a step.
+        self.late = {t for a, b, r in pairs for t in (a, b) if r < t and t > 255}
+        table = pa.table({"ab": pa.array([a * 65536 + b for a, b, _ in pairs], pa.int64()), "t": pa.array([r for *_, r in pairs], pa.int64())})
         vocabulary = pa.table({"id": pa.array(list(ranks.values()), pa.int64()), "hex": pa.array([x.hex() for x in ranks])})
         self.con.register("merges_in", table)
         self.con.register("vocabulary_in", vocabulary)
@@ -118,8 +134,11 @@ class Codec:
         sizes = np.array([len(w) for w in words])
         flat = np.frombuffer(b"".join(words), np.uint8)
         w = np.repeat(np.arange(len(words), dtype=np.int64), sizes)
-        place = np.arange(len(flat)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-        return pa.table({"w": w, "p": place.astype(np.int64), "t": np.array(self.bytes, np.int64)[flat]})
+        g = np.arange(len(flat), dtype=np.int64)
+        t = np.array(self.bytes, np.int64)[flat]
+        last = np.zeros(len(flat), bool)
+        last[np.cumsum(sizes) - 1] = True
+        return pa.table({"w": w, "g": g, "t": t, "t2": pa.array(np.roll(t, -1), mask=last), "g2": pa.array(g + 1, mask=last)})
 
     def _contract(self, words: list[bytes]) -> list[tuple[int, ...]]:
         out: list[tuple[int, ...]] = [()] * len(words)
@@ -140,30 +159,13 @@ class Codec:
     def _contract_long(self, word: bytes) -> tuple[int, ...]:
         con = self.con
         con.register("words", self._words([word]))
-        con.execute("CREATE OR REPLACE TEMP TABLE state AS SELECT w, p, t FROM words")
+        con.execute("CREATE OR REPLACE TEMP TABLE state AS SELECT g, t FROM words")
         con.unregister("words")
-        every = """
-          , hits AS (SELECT p, p2, row_number() OVER (ORDER BY p) AS r, p - 0 AS q FROM pairs JOIN merges m ON m.a = pairs.t AND m.b = pairs.t2
-                     WHERE m.t = (SELECT x // 4294967296 FROM least)),
-          chains AS (SELECT p, p2, CASE WHEN lag(p2) OVER (ORDER BY p) = p THEN 0 ELSE 1 END AS fresh FROM hits),
-          numbered AS (SELECT p, p2, sum(fresh) OVER (ORDER BY p) AS c FROM chains),
-          chosen AS (SELECT p, p2 FROM (SELECT *, row_number() OVER (PARTITION BY c ORDER BY p) AS k FROM numbered) WHERE k % 2 = 1)
-          SELECT s.w, s.p, CASE WHEN h.p IS NOT NULL THEN (SELECT x // 4294967296 FROM least) ELSE s.t END AS t
-          FROM state s LEFT JOIN chosen h ON h.p = s.p ANTI JOIN chosen g ON g.p2 = s.p
-        """
-        first = """
-          SELECT s.w, s.p, CASE WHEN s.p = least.x % 4294967296 THEN least.x // 4294967296 ELSE s.t END AS t
-          FROM state s JOIN least ON least.w = s.w WHERE s.p <> least.p2
-        """
-        size = con.execute("SELECT count(*) FROM state").fetchall()[0][0]
-        while True:
-            con.execute("CREATE OR REPLACE TEMP TABLE next_state AS " + _STEP.format(source="state") + (every if self.ordered else first))
-            now = con.execute("SELECT count(*) FROM next_state").fetchall()[0][0]
-            if now == size or now == 0:
-                break
+        while (x := con.execute(_LEAST).fetchall()[0][0]) is not None:
+            token, place = divmod(x, 1 << 40)
+            con.execute("CREATE OR REPLACE TEMP TABLE next_state AS " + _CONTRACT, {"t": token, "last": place if token in self.late else len(word)})
             con.execute("DROP TABLE state; ALTER TABLE next_state RENAME TO state")
-            size = now
-        return tuple(r[0] for r in con.execute("SELECT t FROM state ORDER BY p").fetchall())
+        return tuple(r[0] for r in con.execute("SELECT t FROM state ORDER BY g").fetchall())
 
     def learn(self, words: set[str]) -> None:
         """Adds the encodings of the pre-tokens to what is known."""
