@@ -5,8 +5,35 @@ from __future__ import annotations
 from pyspark.sql import types as T
 
 
+_SIMPLE = {"string": T.StringType, "int": T.IntegerType, "long": T.LongType, "double": T.DoubleType, "float": T.FloatType, "boolean": T.BooleanType}
+
+
+def _fields(text: str) -> list[str]:
+    """The parts of a list at its top level."""
+    parts, depth, start = [], 0, 0
+    for i, c in enumerate(text):
+        depth += (c == "<") - (c == ">")
+        if c == "," and depth == 0:
+            parts.append(text[start:i].strip())
+            start = i + 1
+    return [*parts, text[start:].strip()]
+
+
+def _type(text: str) -> T.DataType:
+    name, _, inner = text.partition("<")
+    inner = inner[:-1]
+    if name == "array":
+        return T.ArrayType(_type(inner))
+    if name == "map":
+        return T.MapType(*map(_type, _fields(inner)))
+    if name == "struct":
+        return T.StructType([T.StructField(f.partition(":")[0], _type(f.partition(":")[2])) for f in _fields(inner)])
+    return _SIMPLE[name]()
+
+
 def struct(ddl: str) -> T.StructType:
-    return T.StructType.fromDDL(ddl)
+    """A schema from "name type, ..."; unlike StructType.fromDDL this needs no session when the module is imported."""
+    return T.StructType([T.StructField(f.partition(" ")[0], _type(f.partition(" ")[2])) for f in _fields(ddl)])
 
 
 METRIC = "struct<name:string,value_raw:string,dataset:string,split:string,conditions:string>"
