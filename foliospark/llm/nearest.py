@@ -6,7 +6,7 @@ are buckets of growing width over the same arrays), and each row counts the wind
 the collision threshold are verified by their exact Euclidean distance on original vectors, in double precision.
 A query stops when its windows' half-width is STOP times its k-th best verified distance: a row nearer than that
 lies in a window with a probability of 0.77 at least, against a threshold of SHARE of the windows, so it is missed
-with a probability of about 0.001.
+with a probability of about 0.002 at most.
 
 The query set is cut into blocks of BLOCK rows; each block is broadcast (its size is bounded by the block) to all
 chunks, and each chunk returns its k best for each query. These are ranked over all chunks.
@@ -29,12 +29,14 @@ from pyspark.sql import functions as F
 from foliospark.llm.common import bound_batches, cut, read_table
 from foliospark.llm.vectors import matrix, valid
 
-PROJECTIONS = 128
-SHARE = 0.65
+PROJECTIONS = 64
+SHARE = 0.62
 STOP = 1.2
-GROWTH = 1.15
+GROWTH = 1.25
 CHUNK = 8000
 BLOCK = 2048
+#: Rows of a chunk whose nearest one sets a query's first width; it has no other effect.
+PROBES = 64
 SEED = 2
 
 
@@ -42,47 +44,67 @@ class Index:
     """Sorted projections of a chunk of vectors of one length."""
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
-        self.ids, self.x = ids, x
+        self.ids, self.x, self.squares = ids, x, (x * x).sum(axis=1)
         self.planes = np.random.default_rng([SEED, x.shape[1]]).standard_normal((x.shape[1], PROJECTIONS))
-        values = (x @ self.planes).T
+        values = np.ascontiguousarray((x @ self.planes).T)
         self.order = np.argsort(values, axis=1).astype(np.int32)
         self.values = np.take_along_axis(values, self.order, axis=1)
 
-    def nearest(self, own: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, distances) of the k nearest rows found, nearest first; own: the query's id."""
-        n, centre = len(self.ids), q @ self.planes
+    def _squared(self, q: np.ndarray, rows: np.ndarray) -> np.ndarray:
+        """Squared distances, near enough to choose which ones to compute exactly."""
+        return np.maximum(self.squares[rows] - 2 * (self.x[rows] @ q) + q @ q, 0)
+
+    def _verify(self, q: np.ndarray, rows: np.ndarray, best: tuple, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """The k nearest of best (ids, distances) and the rows, by exact distance, ties to the smaller id."""
+        near = self._squared(q, rows)
+        if len(rows) > k:
+            most = np.partition(near, k - 1)[k - 1]
+            if len(best[1]) >= k:
+                most = min(most, best[1][-1] ** 2)
+            if len(np.unique(self.ids[rows[near <= most]])) >= k or len(best[1]) >= k:  # repeated ids count once
+                rows = rows[near <= most + 1e-9 * (q @ q + self.squares[rows].max())]
+        d = np.concatenate([best[1], np.sqrt(np.cumsum((self.x[rows] - q) ** 2, axis=1)[:, -1])])
+        i = np.concatenate([best[0], self.ids[rows]])
+        at = np.lexsort((i, d))
+        at = at[np.sort(np.unique(i[at], return_index=True)[1])][:k]
+        return i[at], d[at]
+
+    def nearest(self, own: np.ndarray, q: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """(ids, distances) of the k nearest rows found for each query, nearest first; own: the queries' ids."""
+        n, m, centre = len(self.ids), len(q), q @ self.planes
         need = int(np.ceil(SHARE * PROJECTIONS))
-        at = np.array([np.searchsorted(v, c) for v, c in zip(self.values, centre, strict=True)])
-        low, high = at.copy(), at.copy()
-        counts, done = np.zeros(n, np.int32), self.ids == own
-        found_d, found_i = np.zeros(0), np.zeros(0, np.int64)
-        half = self._first_width(centre, at, k)
-        while True:
-            new_low = np.array([np.searchsorted(v, c - half, "left") for v, c in zip(self.values, centre, strict=True)])
-            new_high = np.array([np.searchsorted(v, c + half, "right") for v, c in zip(self.values, centre, strict=True)])
-            added = [part for p in range(PROJECTIONS) for part in (self.order[p, new_low[p] : low[p]], self.order[p, high[p] : new_high[p]])]
-            counts += np.bincount(np.concatenate(added), minlength=n).astype(np.int32)
-            low, high = np.minimum(low, new_low), np.maximum(high, new_high)
-            rows = np.flatnonzero((counts >= need) & ~done)
-            if len(rows):
-                done[rows] = True
-                found_d = np.concatenate([found_d, np.sqrt(np.cumsum((self.x[rows] - q) ** 2, axis=1)[:, -1])])
-                found_i = np.concatenate([found_i, self.ids[rows]])
-                best = np.lexsort((found_i, found_d))
-                best = best[np.sort(np.unique(found_i[best], return_index=True)[1])][:k]
-                found_d, found_i = found_d[best], found_i[best]
-            if len(found_d) >= k and half >= STOP * found_d[-1] or (low == 0).all() and (high == n).all():
-                return found_i, found_d
-            half *= GROWTH
-            if len(found_d) >= k:
-                half = min(half, max(half / GROWTH, STOP * found_d[-1]) * 1.0000001)
-
-    def _first_width(self, centre: np.ndarray, at: np.ndarray, k: int) -> float:
-        n = len(self.ids)
-        reach = np.minimum(n - 1, at + k)
-        width = float(np.median(np.abs(self.values[np.arange(PROJECTIONS), reach] - centre)))
-        spread = float(self.values[:, -1].max() - self.values[:, 0].min())
-        return max(width, spread * 1e-6, 1e-12)
+        probes = np.linspace(0, n - 1, min(n, PROBES)).astype(int)
+        half = np.array([np.sqrt(self._squared(v, probes[self.ids[probes] != o]).min(initial=np.inf)) for v, o in zip(q, own, strict=True)])
+        spread = np.ptp(self.values[:, [0, -1]], axis=1).max()
+        half = np.maximum(np.where(np.isfinite(half), 0.6 * half, spread), max(spread * 1e-6, 1e-12))
+        low = np.stack([np.searchsorted(v, c) for v, c in zip(self.values, centre.T, strict=True)], axis=1)
+        high = low.copy()
+        counts = np.zeros((m, n), np.uint8)
+        best = [(np.zeros(0, np.int64), np.zeros(0))] * m
+        open_ = np.arange(m)
+        while len(open_):
+            reach = half[open_]
+            left = np.stack([np.searchsorted(v, c - reach, "left") for v, c in zip(self.values, centre[open_].T, strict=True)], axis=1)
+            right = np.stack([np.searchsorted(v, c + reach, "right") for v, c in zip(self.values, centre[open_].T, strict=True)], axis=1)
+            still = []
+            for a, b, j in zip(left, right, open_, strict=True):
+                old_a, old_b = low[j], high[j]
+                parts = [self.order[p, s:e] for p in range(PROJECTIONS) for s, e in ((a[p], old_a[p]), (old_b[p], b[p]))]
+                before = counts[j] >= need
+                counts[j] += np.bincount(np.concatenate(parts), minlength=n).astype(np.uint8)
+                low[j], high[j] = a, b
+                rows = np.flatnonzero((counts[j] >= need) & ~before & (self.ids != own[j]))
+                if len(rows):
+                    best[j] = self._verify(q[j], rows, best[j], k)
+                found = best[j][1]
+                if len(found) >= k and half[j] >= STOP * found[-1] or not a.any() and (b == n).all():
+                    continue
+                half[j] *= GROWTH
+                if len(found) >= k:  # no wider than what ends the search
+                    half[j] = min(half[j], max(half[j] / GROWTH, STOP * found[-1]) * 1.0000001)
+                still.append(j)
+            open_ = np.array(still, dtype=int)
+        return best
 
 
 def _search(rows: DataFrame, queries: list[tuple], k: int) -> DataFrame:
@@ -91,10 +113,11 @@ def _search(rows: DataFrame, queries: list[tuple], k: int) -> DataFrame:
 
     def answer(ids: list[np.ndarray], vectors: list[np.ndarray]) -> Iterator[pa.RecordBatch]:
         index, out = Index(np.concatenate(ids), np.concatenate(vectors)), []
-        for own, q in shared.value:
-            if len(q) == index.x.shape[1]:
-                found, d = index.nearest(own, q, k)
-                out.append((np.full(len(found), own, np.int64), found, d))
+        asked = [(own, q) for own, q in shared.value if len(q) == index.x.shape[1]]
+        for at in range(0, len(asked), 256):  # bounds the counts held at a time
+            part = asked[at : at + 256]
+            found = index.nearest(np.array([o for o, _ in part]), np.array([q for _, q in part]), k)
+            out += [(np.full(len(i), o, np.int64), i, d) for (o, _), (i, d) in zip(part, found, strict=True)]
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["query_id", "vec_id", "score"])
 
