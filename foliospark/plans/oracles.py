@@ -240,7 +240,7 @@ WHERE contains(lower(p_name || '#' || p_partkey), '#1')
 """,
     "papers_by_method": """
 SELECT DISTINCT l_orderkey::VARCHAR AS paper, 'order ' || l_orderkey AS title, p_type AS method FROM lineitem JOIN part ON p_partkey = l_partkey JOIN orders ON o_orderkey = l_orderkey
-WHERE contains(lower(p_type), 'brass')
+WHERE contains(lower(p_type), 'stan')
 """,
     "comparison": """
 WITH f AS (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 3),

@@ -166,11 +166,11 @@ def papers_by_dataset(spark, sf_dir):
 
 
 def papers_by_method(spark, sf_dir):
-    return graph.find_papers_by_method(t.graph_nodes(spark, sf_dir), t.graph_edges(spark, sf_dir, "PROPOSES_METHOD"), "Brass").select("paper", "title", "method")
+    return graph.find_papers_by_method(t.graph_nodes(spark, sf_dir), t.graph_edges(spark, sf_dir, "PROPOSES_METHOD"), "Stan").select("paper", "title", "method")
 
 
 def comparison(spark, sf_dir):
-    """Authors' ten first papers' shared and unique methods and datasets."""
+    """Shared and unique methods and datasets of the first three papers."""
     first = [str(r[0]) for r in t.read(spark, sf_dir, "orders").orderBy("o_orderkey").select("o_orderkey").limit(3).collect()]
     return retrieval.comparison(t.graph_edges(spark, sf_dir, "USES_DATASET", "PROPOSES_METHOD"), first).select("label", "item", "n_papers", "status")
 

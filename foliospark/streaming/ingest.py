@@ -34,4 +34,4 @@ def stream_category(spark: SparkSession, path: str, category: str, start: str, e
 
 def event_windows(events: DataFrame, *, width: str = "5 minutes", late: str = "10 minutes") -> DataFrame:
     """Counts and sums of events by type and tumbling window; rows later than the watermark are dropped."""
-    return events.withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select("w.start", "w.end", "event_type", "n", "total")
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late).groupBy(F.window("ts", width).alias("w"), "event_type").agg(F.count("*").alias("n"), F.sum("value").alias("total")).select("w.start", "w.end", "event_type", "n", "total")
