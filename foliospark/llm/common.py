@@ -87,3 +87,39 @@ def words_in(column) -> F.Column:
 def broadcast_if_small(table: DataFrame, most: int) -> DataFrame:
     """The table, marked for broadcast if it has at most so many rows; it should come from a checkpoint, as it is counted."""
     return F.broadcast(table) if table.limit(most + 1).count() <= most else table
+
+
+def sorted_groups(batches: Iterator[pa.RecordBatch], n_keys: int) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Tables of whole groups with the groups' bounds, from rows sorted by their first n_keys columns.
+
+    Only the rows of the group that is open at a batch's end are held.
+    """
+    import numpy as np
+
+    held: list[pa.RecordBatch] = []
+    last = None
+
+    def whole() -> Iterator[tuple[pa.Table, list[int]]]:
+        table = pa.Table.from_batches(held).combine_chunks()
+        keys = [table.column(i).to_numpy() for i in range(n_keys)]
+        new = np.any([k[1:] != k[:-1] for k in keys], axis=0)
+        yield table, [0, *(np.flatnonzero(new) + 1).tolist(), len(table)]
+        held.clear()
+
+    for batch in batches:
+        if not len(batch):
+            continue
+        keys = [batch.column(i).to_numpy() for i in range(n_keys)]
+        first = tuple(k[0] for k in keys)
+        if held and first != last:
+            yield from whole()
+        change = np.flatnonzero(np.any([k[1:] != k[:-1] for k in keys], axis=0))
+        if len(change):
+            at = int(change[-1]) + 1
+            held.append(batch.slice(0, at))
+            yield from whole()
+            batch = batch.slice(at)
+        held.append(batch)
+        last = tuple(k[-1] for k in keys)
+    if held:
+        yield from whole()

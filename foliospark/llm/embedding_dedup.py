@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import broadcast_if_small, cut, read_table
+from foliospark.llm.common import broadcast_if_small, cut, read_table, sorted_groups
 from foliospark.llm.components import components
 from foliospark.llm.vectors import matrix, valid
 
@@ -110,19 +110,10 @@ def _compare(groups: DataFrame, threshold: float) -> DataFrame:
     """(id, links, root) from rows (k, key, x, y, side, id, m, v) that are sorted by group within their partitions."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: list[pa.RecordBatch] = []
-
-        def flush(table: pa.Table) -> Iterator[pa.RecordBatch]:
-            table = table.combine_chunks()
-            if not len(table):
-                return
-            c = {n: table.column(n).to_numpy() for n in ("k", "key", "x", "y", "side", "id", "m")}
-            new = np.ones(len(table), bool)
-            new[1:] = np.any([c[n][1:] != c[n][:-1] for n in ("k", "key", "x", "y")], axis=0)
-            starts = [*np.flatnonzero(new), len(table)]
-            vectors = table.column("v").chunk(0)
-            out = []
-            for a, b in zip(starts, starts[1:], strict=False):
+        for table, bounds in sorted_groups(batches, 4):
+            c = {n: table.column(n).to_numpy() for n in ("k", "side", "id", "m")}
+            vectors, out = table.column("v").chunk(0), []
+            for a, b in zip(bounds, bounds[1:], strict=False):
                 if b - a > 1:
                     part = vectors.slice(a, b - a)
                     if len(set(part.value_lengths().to_pylist())) == 1 and (got := _group(int(c["k"][a]), c["id"][a:b], c["m"][a:b], _unit(matrix(part)), c["side"][a:b], threshold)):
@@ -130,25 +121,6 @@ def _compare(groups: DataFrame, threshold: float) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["id", "links", "root"])
 
-        last = None
-        for batch in batches:
-            if not len(batch):
-                continue
-            c = [batch.column(i).to_numpy() for i in range(4)]
-            change = np.flatnonzero(np.any([x[1:] != x[:-1] for x in c], axis=0)) + 1
-            first = tuple(x[0] for x in c)
-            cut_at = int(change[-1]) if len(change) else 0
-            if last is not None and first != last:
-                yield from flush(pa.Table.from_batches(held))
-                held = []
-            if cut_at:
-                yield from flush(pa.Table.from_batches([*held, batch.slice(0, cut_at)]))
-                held = []
-            held.append(batch.slice(cut_at))
-            last = tuple(x[-1] for x in c)
-        if held:
-            yield from flush(pa.Table.from_batches(held))
-
     return groups.mapInArrow(run, "id long, links long, root long")
 
 
