@@ -12,11 +12,19 @@ from pyspark.sql import functions as F
 from foliospark.llm.common import cut
 
 
+ROWS = 100_000
+
+
 def _state(edges: DataFrame) -> tuple:
     row = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("hi", "lo").cast("decimal(38,0)")).alias("h")).first()
     return row["n"], row["h"]
 
 
+def _packed(edges: DataFrame, n: int) -> DataFrame:
+    """The edges in partitions of about ROWS rows: few links don't need a shuffle file for each shuffle partition."""
+    return edges.coalesce(max(1, -(-n // ROWS)))
+
+
 def _large_star(edges: DataFrame) -> DataFrame:
     both = edges.select(F.col("hi").alias("u"), F.col("lo").alias("v")).unionByName(edges.select(F.col("lo").alias("u"), F.col("hi").alias("v")))
     least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
@@ -37,10 +45,11 @@ def components(links: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     edges = cut(links.where(F.col(a) != F.col(b)).select(F.greatest(a, b).alias("hi"), F.least(a, b).alias("lo")).distinct())
     before = _state(edges)
     while before[0]:
-        edges = cut(_small_star(_large_star(edges)))
+        edges = cut(_small_star(_large_star(_packed(edges, before[0]))))
         after = _state(edges)
         if after == before:
             break
         before = after
+    edges = _packed(edges, before[0])
     roots = edges.select("lo").distinct().select(F.col("lo").alias("node"), F.col("lo").alias("component"))
     return edges.select(F.col("hi").alias("node"), F.col("lo").alias("component")).unionByName(roots)
