@@ -4,7 +4,9 @@ Base spans are the leftmost non-overlapping matches of each kind of BASE; matche
 candidate is a run of key characters of at least WINDOW; its character class is hex, letters, or mixed. A window of
 WINDOW characters slides over it: entering and leaving characters change their counts and the sum of n * log2(n),
 from which the window's Shannon entropy follows. Windows at or above their class's threshold merge into spans of
-kind entropy. Candidates that match the allow-list give none, nor do spans that overlap a base span.
+kind entropy. Candidates that match the allow-list give none. With outside, of spans that overlap base spans the
+stretches outside them are kept, of any length; op1 has it so. Without, such spans go whole, with what stands
+beside the base span.
 
 Regular expressions find the texts that need more work; all else runs on those texts alone. Positions are code
 points, end exclusive.
@@ -113,7 +115,18 @@ def _entropy_spans(text) -> F.Column:
     return F.flatten(F.transform(judged, lambda x: _windows_over(x["m"], x["at"], x["least"])))
 
 
-def scan_secrets(df: DataFrame, *, text_col: str = "text") -> DataFrame:
+def _outside(span: F.Column, base) -> F.Column:
+    """The stretches of a span that no base span covers; base is sorted by start."""
+    piece = lambda a, b: F.when(a < b, F.array(F.struct(a.alias("start"), F.lit(3).alias("kind"), b.alias("end")))).otherwise(_none())
+    start = F.struct(span["start"].alias("at"), _none().alias("spans"))
+
+    def step(acc, b):
+        return F.struct(F.greatest(acc["at"], b["end"]).alias("at"), F.concat(acc["spans"], piece(acc["at"], F.least(b["start"], span["end"]))).alias("spans"))
+
+    return F.aggregate(base, start, step, lambda acc: F.concat(acc["spans"], piece(acc["at"], span["end"])))
+
+
+def scan_secrets(df: DataFrame, *, text_col: str = "text", outside: bool = False) -> DataFrame:
     """df with base_spans and secret_spans (all): arrays of (start, kind number in KINDS, end), by start, then kind."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     base = F.array_sort(
@@ -125,7 +138,10 @@ def scan_secrets(df: DataFrame, *, text_col: str = "text") -> DataFrame:
     )
     found = df.drop("base_spans", "secret_spans").withColumn("base_spans", base)
     found = found.withColumn("entropy_spans", F.when(text.rlike(CANDIDATE), _entropy_spans(text)).otherwise(_none()))
-    clear = F.filter("entropy_spans", lambda e: ~F.exists("base_spans", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
+    if outside:
+        clear = F.flatten(F.transform("entropy_spans", lambda e: _outside(e, F.col("base_spans"))))
+    else:
+        clear = F.filter("entropy_spans", lambda e: ~F.exists("base_spans", lambda b: (b["start"] < e["end"]) & (e["start"] < b["end"])))
     return found.withColumn("secret_spans", F.array_sort(F.concat("base_spans", clear))).drop("entropy_spans")
 
 
@@ -136,7 +152,7 @@ def as_text(spans) -> F.Column:
 
 
 def op1_secret_scans(spark, sf_dir: str) -> DataFrame:
-    found = scan_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = scan_secrets(read_table(spark, sf_dir, "documents").select("doc_id", "text"), outside=True)
     of = lambda k: lambda x: x["kind"] == k
     counts = [F.size(F.filter("base_spans", of(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
     return found.select("doc_id", *counts, F.sha2(as_text(F.col("base_spans")), 256).alias("base_sha256"), as_text(F.col("secret_spans")).alias("spans"))
