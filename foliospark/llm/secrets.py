@@ -1,7 +1,7 @@
 """Secret scans with DataFrame functions only: base patterns, and sliding-window entropy over candidate strings.
 
 Base spans are the leftmost non-overlapping matches of each kind of BASE; matches that fail the kind's test go. A
-candidate is a run of key characters of at least WINDOW; its character class is hex, letters, or mixed. A window of
+candidate is a run of key characters of at least WINDOW; its character class is a key of THRESHOLDS. A window of
 WINDOW characters slides over it: entering and leaving characters change their counts and the sum of n * log2(n),
 from which the window's Shannon entropy follows. Windows at or above their class's threshold merge into spans of
 kind entropy. Candidates that match the allow-list give none. With outside, of spans that overlap base spans the
@@ -33,8 +33,9 @@ KINDS = ("assign", "access", "hex", "entropy")
 WINDOW = 20
 CANDIDATE = r"[A-Za-z0-9+/_=-]{20,}"
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: Least entropy in bits of a window, by character class. Digits alone, and letters with separators, have no class.
-THRESHOLDS = {"hex": 3.0, "letters": 4.15, "mixed": 3.6}
+#: Least entropy in bits of a window, by character class: mixed has letters and digits, words letters with separators,
+#: digits may have separators. Separators alone are rules and have no class. README has the miss rates.
+THRESHOLDS = {"hex": 3.0, "letters": 3.7, "mixed": 3.6, "words": 3.8, "digits": 2.6}
 #: Strings of high entropy that are no secrets.
 ALLOW = [
     r"(?i)example",
@@ -110,6 +111,8 @@ def _entropy_spans(text) -> F.Column:
         F.when(m.rlike(r"^[0-9a-fA-F]*$") & m.rlike("[a-fA-F]") & m.rlike("[0-9]"), F.lit(THRESHOLDS["hex"]))
         .when(m.rlike(r"^[A-Za-z]*$"), F.lit(THRESHOLDS["letters"]))
         .when(m.rlike("[A-Za-z]") & m.rlike("[0-9]"), F.lit(THRESHOLDS["mixed"]))
+        .when(m.rlike("[A-Za-z]"), F.lit(THRESHOLDS["words"]))
+        .when(m.rlike("[0-9]"), F.lit(THRESHOLDS["digits"]))
     )
     judged = F.filter(F.transform(found, lambda x: F.struct(x["m"].alias("m"), x["at"].alias("at"), F.when(~allowed(x["m"]), least(x["m"])).alias("least"))), lambda x: x["least"].isNotNull())
     return F.flatten(F.transform(judged, lambda x: _windows_over(x["m"], x["at"], x["least"])))

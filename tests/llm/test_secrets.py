@@ -113,3 +113,20 @@ def test_query_keeps_secrets_joined_to_base_spans(spark, tmp_path):
     for r in secrets.op1_secret_scans(spark, str(tmp_path)).collect():
         text, want = JOINED[r["doc_id"]]
         assert entropy_parts(text, r["spans"]) == want, text
+
+
+CLASSES = [
+    ("key gTbWqLxRnAyKpDzHcVmEgTqS end", ["gTbWqLxRnAyKpDzHcVmEgTqS"]),
+    ("key qkzvwbtxmjrhpgfydncs end", ["qkzvwbtxmjrhpgfydncs"]),
+    ("key gTbWqLx/RnAyKpDz+HcVmEuJf end", ["gTbWqLx/RnAyKpDz+HcVmEuJf"]),
+    ("key 83915027-46193820-57462 end", ["83915027-46193820-57462"]),
+    ("Einungtzheitgeungverlich and thingestionthingstionthing", []),
+    ("state-of-the-art-and-then-some 2023-01-01-2023-01-02 " + "=" * 40 + "-_" * 20, []),
+]
+
+
+def test_every_class_is_scored(spark, documents):
+    rows = secrets.scan_secrets(documents([t for t, _ in CLASSES])).select("doc_id", secrets.as_text("secret_spans").alias("s")).collect()
+    for r in rows:
+        text, want = CLASSES[r["doc_id"]]
+        assert entropy_parts(text, r["s"]) == want, text
