@@ -4,7 +4,7 @@ Base spans are the leftmost non-overlapping matches of each kind of BASE; matche
 candidate is a run of key characters of at least WINDOW; its character class is a key of THRESHOLDS. A window of
 WINDOW characters slides over it: entering and leaving characters change their counts and the sum of n * log2(n),
 from which the window's Shannon entropy follows. Windows at or above their class's threshold merge into spans of
-kind entropy. Candidates that match the allow-list give none. With outside, of spans that overlap base spans the
+kind entropy; windows that overlap a match of the allow-list don't. With outside, of spans that overlap base spans the
 stretches outside them are kept, of any length; op1 has it so. Without, such spans go whole, with what stands
 beside the base span.
 
@@ -36,8 +36,9 @@ ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: Least entropy in bits of a window, by character class: mixed has letters and digits, words letters with separators,
 #: digits may have separators. Separators alone are rules and have no class. README has the miss rates.
 THRESHOLDS = {"hex": 3.0, "letters": 3.7, "mixed": 3.6, "words": 3.8, "digits": 2.6}
-#: Strings of high entropy that are no secrets.
+#: Strings of high entropy that are no secrets; ^ and $ are the candidate's ends. The first is a published sample key.
 ALLOW = [
+    r"wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY",
     r"(?i)example",
     r"(?i)abcdefghijklmnopqrst",
     r"(?i)0123456789abcdef",
@@ -68,8 +69,8 @@ def _spans(text, pattern: str, kind: int, group: int | None = None, least: int =
     return F.aggregate(rows, start, step, lambda acc: acc["spans"])
 
 
-def _windows_over(text: F.Column, begin: F.Column, least: F.Column) -> F.Column:
-    """Merged spans of the windows of one candidate that reach the least entropy."""
+def _windows_over(text: F.Column, begin: F.Column, least: F.Column, allowed: F.Column) -> F.Column:
+    """Merged spans of the windows of one candidate that reach the least entropy and overlap no allowed span of it."""
     zeros = F.array(*[F.lit(0)] * len(ALPHABET))
     enter = F.split(text, "")
     leave = F.slice(F.concat(F.array_repeat(F.lit(None).cast("string"), WINDOW), enter), F.lit(1), F.size(enter))
@@ -85,7 +86,8 @@ def _windows_over(text: F.Column, begin: F.Column, least: F.Column) -> F.Column:
         counts = F.transform(acc["counts"], lambda n, k: n + F.when(k == x["c"] - 1, 1).otherwise(0) - F.when(k == F.coalesce(x["d"], F.lit(0)) - 1, 1).otherwise(0))
         total = acc["sum"] + less + more
         n = acc["i"] + 1
-        hit = (n >= WINDOW) & (F.log2(F.lit(float(WINDOW))) - total / WINDOW >= least)
+        clear = ~F.exists(allowed, lambda a: (a["start"] < n) & (n - WINDOW < a["end"]))
+        hit = (n >= WINDOW) & (F.log2(F.lit(float(WINDOW))) - total / WINDOW >= least) & clear
         span = F.struct((begin + n - WINDOW).alias("start"), F.lit(3).alias("kind"), (begin + n).alias("end"))
         last = F.element_at(acc["spans"], -1)
         joins = (F.size(acc["spans"]) > 0) & (last["end"] >= begin + n - WINDOW)
@@ -106,7 +108,7 @@ def _entropy_spans(text) -> F.Column:
         return F.struct((begin + F.length(x["match"])).alias("at"), F.concat(acc["found"], F.array(F.struct(x["match"].alias("m"), begin.alias("at")))).alias("found"))
 
     found = F.aggregate(zipped, start, step, lambda acc: acc["found"])
-    allowed = lambda m: m.rlike("|".join(f"(?:{p})" for p in ALLOW))
+    allowed = lambda m: F.when(m.rlike("|".join(f"(?:{p})" for p in ALLOW)), F.concat(*[_spans(m, p, 3) for p in ALLOW])).otherwise(_none())
     least = lambda m: (
         F.when(m.rlike(r"^[0-9a-fA-F]*$") & m.rlike("[a-fA-F]") & m.rlike("[0-9]"), F.lit(THRESHOLDS["hex"]))
         .when(m.rlike(r"^[A-Za-z]*$"), F.lit(THRESHOLDS["letters"]))
@@ -114,8 +116,8 @@ def _entropy_spans(text) -> F.Column:
         .when(m.rlike("[A-Za-z]"), F.lit(THRESHOLDS["words"]))
         .when(m.rlike("[0-9]"), F.lit(THRESHOLDS["digits"]))
     )
-    judged = F.filter(F.transform(found, lambda x: F.struct(x["m"].alias("m"), x["at"].alias("at"), F.when(~allowed(x["m"]), least(x["m"])).alias("least"))), lambda x: x["least"].isNotNull())
-    return F.flatten(F.transform(judged, lambda x: _windows_over(x["m"], x["at"], x["least"])))
+    judged = F.filter(F.transform(found, lambda x: F.struct(x["m"].alias("m"), x["at"].alias("at"), least(x["m"]).alias("least"), allowed(x["m"]).alias("allowed"))), lambda x: x["least"].isNotNull())
+    return F.flatten(F.transform(judged, lambda x: _windows_over(x["m"], x["at"], x["least"], x["allowed"])))
 
 
 def _outside(span: F.Column, base) -> F.Column:

@@ -130,3 +130,19 @@ def test_every_class_is_scored(spark, documents):
     for r in rows:
         text, want = CLASSES[r["doc_id"]]
         assert entropy_parts(text, r["s"]) == want, text
+
+
+ALLOWED = [
+    ("example-app/Zx8qP2mK4vR7tY1wL9sD3fG6", ["-app/Zx8qP2mK4vR7tY1wL9sD3fG6"]),
+    ("Qw3eRt5yUi7oPa9sDf1gHj_0123456789ABCDEF_Zx8qP2mK4vR7tY1wL9sD3fG6", ["Qw3eRt5yUi7oPa9sDf1gHj_", "_Zx8qP2mK4vR7tY1wL9sD3fG6"]),
+    ("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY", []),
+    ("123e4567-e89b-12d3-a456-426614174000", []),
+    ("my-example-key0123456789ABCDEFghij", []),
+]
+
+
+def test_allow_list_hides_only_what_it_matches(spark, documents):
+    rows = secrets.scan_secrets(documents([t for t, _ in ALLOWED])).select("doc_id", secrets.as_text("secret_spans").alias("s")).collect()
+    for r in rows:
+        text, want = ALLOWED[r["doc_id"]]
+        assert entropy_parts(text, r["s"]) == want, text
