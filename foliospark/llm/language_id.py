@@ -38,6 +38,11 @@ MODEL_BYTES = 128 << 20
 CACHE_WORDS = 300_000
 SMOOTHING = 0.5
 UNKNOWN = 1e-9
+#: How well labelled texts fit their language: of those, the share that is left out, and what a text may lack to the
+#: rest, in nats for each character and for the whole text.
+FIT_SHARE = 0.01
+FIT_MARGIN = 1.0
+FIT_SLACK = 40.0
 _LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -167,19 +172,27 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
+def _sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, max_docs: int) -> tuple[list[str], DataFrame]:
+    """The languages, and (lang, text) of about max_docs labelled rows of each."""
+    rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
+    if not sizes:
+        return [], rows.select("lang", "text")
+    share = F.create_map(*[F.lit(x) for g in sorted(sizes) for x in (g, min(1.0, max_docs / sizes[g]))])
+    unit = F.shiftrightunsigned(F.xxhash64(F.lit(11), "id"), 11) / F.lit(float(1 << 53))
+    return sorted(sizes), rows.where(unit < share[F.col("lang")]).select("lang", "text")
+
+
 def train(labelled: DataFrame, vocabulary: str, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_docs: int = MAX_DOCS, steps: int = 2) -> LanguageModel:
     """A model from the labelled rows (lang not null); vocabulary: file of a public piece vocabulary."""
     spark = labelled.sparkSession
-    rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
-    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
-    langs, pieces = sorted(sizes), load_pieces(vocabulary)
+    langs, rows = _sample(labelled, text_col, lang_col, id_col, max_docs)
+    pieces = load_pieces(vocabulary)
     probs = np.full((max(1, len(langs)), len(pieces)), 1.0 / len(pieces))
     if not langs:
         return LanguageModel([], pieces, probs)
     LanguageModel(langs, pieces, probs)  # the size check
-    share = F.create_map(*[F.lit(x) for g in langs for x in (g, min(1.0, max_docs / sizes[g]))])
-    unit = F.shiftrightunsigned(F.xxhash64(F.lit(11), "id"), 11) / F.lit(float(1 << 53))
-    words = cut(_word_counts(rows.where(unit < share[F.col("lang")]).select("lang", "text")))
+    words = cut(_word_counts(rows))
     wide = words.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))  # an entry for each language
     index = {g: k for k, g in enumerate(langs)}
     for _ in range(steps):
@@ -207,6 +220,7 @@ def train(labelled: DataFrame, vocabulary: str, *, text_col: str = "text", lang_
 
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
+FIT_FIELDS = [T.StructField("lang_fit", T.DoubleType()), T.StructField("lang_chars", T.LongType())]
 
 
 class Scorer:
@@ -225,38 +239,59 @@ class Scorer:
             self.table = np.vstack([self.table, log_scores(new, self.model.ids, self.model.probs.astype(np.float64))])
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
+        return self.judge(texts)[:2]
+
+    def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float | None], list[int]]:
+        """Language, score, log-probability in it a character (null for und), and characters with word marks."""
         langs = self.model.langs
         words = [words_of(t) for t in texts]
         out, score = ["und"] * len(texts), [0.0] * len(texts)
+        fit, chars = [None] * len(texts), [sum(map(len, w)) for w in words]
         full = [k for k, w in enumerate(words) if w]
         if not full or not langs:
-            return out, score
+            return out, score, fit, chars
         flat = [w for k in full for w in words[k]]
         self._learn(flat)
         starts = np.cumsum([0, *(len(words[k]) for k in full[:-1])])
         total = np.add.reduceat(self.table[np.fromiter(map(self.at.__getitem__, flat), dtype=np.int64, count=len(flat))], starts, axis=0)
-        total -= total.max(axis=1, keepdims=True)
-        p = np.exp(total)
+        most = total.max(axis=1, keepdims=True)
+        p = np.exp(total - most)
         p /= p.sum(axis=1, keepdims=True)
-        for k, best, row in zip(full, p.argmax(axis=1), p, strict=True):
-            out[k], score[k] = langs[best], float(row[best])
-        return out, score
+        for k, best, row, m in zip(full, p.argmax(axis=1), p, most[:, 0], strict=True):
+            out[k], score[k], fit[k] = langs[best], float(row[best]), float(m) / chars[k]
+        return out, score, fit, chars
 
 
-def predict(df: DataFrame, model: LanguageModel, *, text_col: str = "text") -> DataFrame:
-    """df with lang_pred and score."""
+def predict(df: DataFrame, model: LanguageModel, *, text_col: str = "text", with_fit: bool = False) -> DataFrame:
+    """df with lang_pred and score, and with_fit lang_fit and lang_chars (see Scorer.judge)."""
     shared = df.sparkSession.sparkContext.broadcast(model)
 
     def make():
         scorer = Scorer(shared.value)
 
         def compute(batch: pa.RecordBatch):
-            langs, scores = scorer.predict(text_of(batch, text_col))
-            return [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            langs, scores, fits, chars = scorer.judge(text_of(batch, text_col))
+            out = [pa.array(langs, pa.string()), pa.array(scores, pa.float64())]
+            return [*out, pa.array(fits, pa.float64()), pa.array(chars, pa.int64())] if with_fit else out
 
         return compute
 
-    return append_columns(df, FIELDS, make)
+    return append_columns(df, FIELDS + FIT_FIELDS if with_fit else FIELDS, make)
+
+
+def least_fits(labelled: DataFrame, model: LanguageModel, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_docs: int = MAX_DOCS) -> dict[str, float]:
+    """The lang_fit of a language that a long text of it reaches: what its labelled rows reach, less FIT_MARGIN."""
+    judged = predict(_sample(labelled, text_col, lang_col, id_col, max_docs)[1], model, with_fit=True).where("lang_pred = lang")
+    got = judged.groupBy("lang").agg(F.percentile("lang_fit", F.lit(FIT_SHARE)).alias("least")).collect()  # one row for each language
+    return {r["lang"]: r["least"] - FIT_MARGIN for r in got}
+
+
+def fits(least: dict[str, float]) -> F.Column:
+    """Whether a row of predict with_fit fits its language; short texts need less, languages without a limit nothing."""
+    if not least:
+        return F.lit(True)
+    limit = F.create_map(*[F.lit(x) for kv in sorted(least.items()) for x in kv])[F.col("lang_pred")]
+    return F.coalesce((F.col("lang_fit") - limit) * F.col("lang_chars") >= -FIT_SLACK, F.lit(True))
 
 
 def held_out(id_col) -> F.Column:

@@ -48,3 +48,24 @@ def test_each_stage_on_its_own_input(spark, tmp_path):
                 assert r.decoded_sha256 == hashlib.sha256(texts[r.doc_id].encode()).hexdigest()
         before = after
     assert corpus_pipeline.ORACLE_SQL is None
+
+
+def test_language_stage_rejects_other_languages_and_letter_junk(spark):
+    sf = "/root/testdata/sf0.001"
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    junk = " ".join("".join(letters[(i * i * 7 + j * 11 + i * j * 5) % 26] for j in range(3 + i % 7)) for i in range(60))
+    texts = {
+        1: "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan ja oikeuksiltaan. Heille on annettu järki ja omatunto.",
+        2: "Все люди рождаются свободными и равными в своем достоинстве и правах.",
+        3: "人人生而自由 在尊严和权利上一律平等",
+        4: junk,
+        5: "x" * 300,
+        6: "1234 !!",
+        7: "That it.",
+        8: "Von.",
+        9: "All human beings are born free and equal in dignity and rights. They are endowed with reason and conscience.",
+        10: "Alle Menschen sind frei und gleich an Würde und Rechten geboren. Sie sind mit Vernunft und Gewissen begabt.",
+    }
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
+    out = corpus_pipeline.keep_known_languages(spark, docs, sf)
+    assert sorted(r["doc_id"] for r in out.collect()) == [7, 8, 9, 10]
