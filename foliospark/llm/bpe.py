@@ -1,39 +1,48 @@
 """Byte-level BPE encoding and decoding with recursive DuckDB queries in each partition.
 
-A text is split by the tokenizer's pattern. Each distinct pre-token of a batch that isn't a token itself becomes
-rows (word, place, token), one for each byte. A recursive query joins neighbours with the merge table (pairs of
-tokens whose bytes together are a token) and contracts each word's leftmost pair of least rank, for all words at
-once, until no word has a pair. Pre-tokens beyond LONG bytes go through the same contraction one step at a time in
-a table that is replaced, and contract all occurrences of the least pair in a step. That gives the same tokens
-unless the merged token can be part of a token of lower rank; for those only the leftmost pair is contracted.
+A text is split by the tokenizer's pattern. Each distinct pre-token that isn't a token itself becomes rows (word,
+place, token), one for each byte. A recursive query joins neighbours with the merge table (pairs of tokens whose
+bytes together are a token) and contracts each word's leftmost pair of least rank, for all words at once, until no
+word has a pair. In the same round it contracts the other pairs that no earlier merge can reach: a pair of rank r
+goes once the leftmost-least order gets to it, unless a merge before it takes one of its tokens. Such a merge makes
+a token of rank r at most that ends with the pair's left token and holds all of the token before, or one of rank
+below r that begins with its right token and holds all of the token after. Whether the vocabulary has any is a
+property of two neighbours, kept beside the merge table (Merges). Nor may the new token and the one beside it be in a
+token of lower rank, as that could then come too early. So words of any length take few rounds. In a run of equal tokens, where such
+pairs overlap, every second one goes, from the run's left end.
 Decoding joins the ids with the vocabulary and concatenates the bytes by an ordered aggregation.
 
-Encodings of pre-tokens are kept between batches, at most CACHE_WORDS; batches have a bounded number of new
-pre-tokens and ids, so that memory doesn't grow with the partition.
+Encodings of pre-tokens are kept between batches, at most CACHE_WORDS and those of one slice of texts; texts are
+taken in slices of about SLICE_CHARS, so that memory doesn't grow with the partition.
 
 Defined results: a null or empty text has no ids and decodes to no bytes. Repeated rows are encoded alike. Whole
 texts are encoded. The strings of special tokens are ordinary text. Input columns named like an output are
-replaced.
+replaced. An empty table gives no rows.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import os
 import re
+import tempfile
+from collections.abc import Iterator, Sequence
 from itertools import chain
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from foliospark.llm.common import append_columns, read_table, text_of
 
-LONG = 128
 CACHE_WORDS = 250_000
-#: Rows in one recursive query, and ids in one decoding query (a single text may have more).
-QUERY_BYTES = 150_000
-QUERY_IDS = 200_000
+#: Characters of texts that are encoded at a time, and rows in one recursive query (a single text or word may have more).
+SLICE_CHARS = 2_000_000
+QUERY_BYTES = 1_000_000
+MEMORY_LIMIT = "200MB"
 
 #: White space as the tokenizer's pattern means it (Unicode White_Space), which excludes the separators 1C-1F.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -65,166 +74,217 @@ def read_ranks(lines: list[str]) -> dict[bytes, int]:
     return {base64.b64decode(a): int(b) for a, b in (x.split() for x in lines if x.strip())}
 
 
-#: Rows are tokens: n (round), w (word), g (word and place), t (token), t2, g2 (the next one), r (what t and t2 merge to).
-_RECURSIVE = """
-WITH RECURSIVE state(n, w, g, t, t2, g2, r) AS (
-  SELECT 0, w, g, words.t, t2, g2, m.t FROM words LEFT JOIN merges m ON m.ab = words.t * 65536 + t2
+class Merges:
+    """What a vocabulary's pairs of tokens merge to, and which tokens bar them. Vocabularies have 65536 tokens at most.
+
+    pair: the left token's rank * PAIR + the right one's. merges: (pair, rank of the token they make, whether that is
+    part of a token of lower rank). before: (pair, that rank or NONE, least rank of the tokens that end with the pair and are longer). after: (pair, least rank of
+    the tokens that begin with the pair).
+    """
+
+    def __init__(self, ranks: dict[bytes, int]):
+        made, ends, begins = {}, {}, {}
+        find = ranks.get
+        for word, rank in ranks.items():
+            n = len(word)
+            for size in range(2, n + 1):
+                for part, known in ((word[:size], begins), (word[n - size :], ends)):
+                    if known is ends and size == n:
+                        break
+                    for i in range(1, size):
+                        if (a := find(part[:i])) is not None and (b := find(part[i:])) is not None:
+                            pair = a * PAIR + b
+                            if known.get(pair, NONE) > rank:
+                                known[pair] = rank
+                            if size == n:
+                                made[pair] = rank
+        columns = lambda *x: tuple(np.fromiter(c, np.int64) for c in x)
+        barred = sorted(made.keys() | ends.keys())
+        late = {t for pair, rank in made.items() for t in divmod(pair, PAIR) if t > rank}
+        self.merges = columns(made.keys(), made.values(), (rank in late for rank in made.values()))
+        self.before = columns(barred, (made.get(p, NONE) for p in barred), (ends.get(p, NONE) for p in barred))
+        self.after = columns(begins.keys(), begins.values())
+        self.ranks = ranks
+
+
+PAIR = 1 << 17
+#: Marks a word's first token, so that it is no pair's right side.
+FIRST = 1 << 16
+NONE = 1 << 30
+
+#: Rows are tokens: n (round), w (word), g (word and place), t (token). pairs: tokens that merge with the next one, with
+#: those around them (p, a, b) and what they make (r). first: the word's leftmost of least rank; free: no earlier merge
+#: can reach the pair; tied: the pair before it makes the same token; runs: tied pairs with the one at their left end.
+_RECURSIVE = f"""
+WITH RECURSIVE state(n, w, g, t) AS (
+  SELECT 0, w, g, t FROM words
   UNION ALL
-  (WITH least AS (
-    SELECT w, min(r * 1099511627776 + g) AS x FROM state WHERE r IS NOT NULL GROUP BY w
-  ), hit AS (
-    SELECT s.w, s.g, s.r AS t, s.g2 AS gone FROM state s JOIN least ON s.g = least.x % 1099511627776
-  ), merged AS (
-    SELECT h.w, h.g, h.t, h.gone, s.t2, s.g2 FROM hit h JOIN state s ON s.g = h.gone
-  ), moved AS (
-    SELECT s.n + 1 AS n, s.w, s.g, s.r, s.g = m.g OR coalesce(s.g2 = m.g, false) AS fresh,
-      CASE WHEN s.g = m.g THEN m.t ELSE s.t END AS t,
-      CASE WHEN s.g = m.g THEN m.t2 WHEN s.g2 = m.g THEN m.t ELSE s.t2 END AS t2,
-      CASE WHEN s.g = m.g THEN m.g2 ELSE s.g2 END AS g2
-    FROM state s JOIN merged m ON m.w = s.w WHERE s.g <> m.gone
+  (WITH around AS (
+    SELECT n, w, g, t, lag(t) OVER o AS p, lead(t) OVER o AS a, lead(t, 2) OVER o AS b, lead(g) OVER o AS g2 FROM state WINDOW o AS (ORDER BY g)
+  ), pairs AS (
+    SELECT w, g, g2, p, around.t, a, b, m.t AS r, CASE WHEN late THEN m.t END AS late FROM around JOIN merges m ON m.ab = (around.t % {FIRST})::BIGINT * {PAIR} + a
+  ), least AS (
+    SELECT w, (min(r::BIGINT * {1 << 31} + g) % {1 << 31})::INT AS g FROM pairs GROUP BY w
+  ), judged AS (
+    SELECT pairs.g, g2, pairs.r, least.g IS NOT NULL AS first, coalesce(x.r = pairs.r, false) AS tied,
+      coalesce(x.r >= pairs.r AND x.longer > pairs.r, true) AND coalesce(y.least >= pairs.r, true)
+        AND coalesce(u.r > late AND u.longer > late, true) AND coalesce(v.least > late, true) AS free
+    FROM pairs LEFT JOIN before x ON x.ab = (p % {FIRST})::BIGINT * {PAIR} + pairs.t
+      LEFT JOIN after y ON y.ab = a::BIGINT * {PAIR} + b
+      LEFT JOIN before u ON u.ab = (p % {FIRST})::BIGINT * {PAIR} + late + pairs.t // {FIRST} * {FIRST}
+      LEFT JOIN after v ON v.ab = late::BIGINT * {PAIR} + b LEFT JOIN least ON least.g = pairs.g
+  ), near AS (
+    SELECT g FROM judged WHERE tied UNION SELECT j.g FROM judged j JOIN judged k ON k.tied AND k.g = j.g2
+  ), runs AS (
+    SELECT g, g2, r, free, tied, max(CASE WHEN NOT tied THEN g::BIGINT * 2 + free::INT END) OVER (ORDER BY g ROWS UNBOUNDED PRECEDING) AS head,
+      row_number() OVER (ORDER BY g) AS i FROM judged SEMI JOIN near USING (g)
+  ), chosen AS (
+    SELECT g, g2, r FROM judged WHERE NOT tied AND (free OR first)
+    UNION ALL
+    SELECT g, g2, r FROM (SELECT *, i - min(i) OVER (PARTITION BY head) AS place FROM runs) WHERE tied AND free AND head % 2 = 1 AND place % 2 = 0
+  ), marks AS (
+    SELECT g, r FROM chosen UNION ALL SELECT g2, -1 FROM chosen
   )
-  SELECT n, w, g, moved.t, t2, g2, CASE WHEN fresh THEN m.t ELSE r END
-  FROM moved LEFT JOIN merges m ON m.ab = CASE WHEN fresh THEN moved.t * 65536 + t2 END)
+  SELECT s.n + 1, w, s.g, CASE WHEN c.r IS NULL THEN s.t ELSE c.r + s.t // {FIRST} * {FIRST} END
+  FROM state s SEMI JOIN least USING (w) LEFT JOIN marks c ON c.g = s.g WHERE c.r IS NULL OR c.r >= 0)
 ), ends AS (SELECT w, max(n) AS n FROM state GROUP BY w)
-SELECT w, list(t ORDER BY g) AS ids FROM state JOIN ends USING (w, n) GROUP BY w
+SELECT w, t % {FIRST} AS t FROM state JOIN ends USING (w, n) ORDER BY g
 """
 
-_LEAST = """
-SELECT min(m.t * 1099511627776 + s.g) FROM (SELECT g, t, lead(t) OVER (ORDER BY g) AS t2 FROM state) s JOIN merges m ON m.ab = s.t * 65536 + s.t2
-"""
-
-#: Contracts the pairs that merge to a token; of a chain of overlapping ones every second, from its left end.
-_CONTRACT = """
-WITH pairs AS (
-  SELECT g, t, lead(t) OVER o AS t2, lead(g) OVER o AS g2, row_number() OVER o AS i FROM state WINDOW o AS (ORDER BY g)
-), hits AS (
-  SELECT g, g2, i - row_number() OVER (ORDER BY g) AS chain FROM pairs JOIN merges m ON m.ab = pairs.t * 65536 + pairs.t2 WHERE m.t = $t AND g <= $last
-), chosen AS (
-  SELECT g, g2 FROM (SELECT g, g2, row_number() OVER (PARTITION BY chain ORDER BY g) AS k FROM hits) WHERE k % 2 = 1
-)
-SELECT s.g, CASE WHEN c.g IS NULL THEN s.t ELSE $t END AS t FROM state s LEFT JOIN chosen c ON c.g = s.g ANTI JOIN chosen d ON d.g2 = s.g
-"""
+_DECODE = "SELECT d, string_agg(hex, '' ORDER BY p) AS h FROM tokens JOIN vocabulary USING (id) GROUP BY d"
 
 
 class Codec:
     """Encodes pre-tokens and decodes ids with one in-memory DuckDB connection of one thread."""
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str):
+    def __init__(self, merges: Merges, pattern: str):
         import duckdb
 
-        self.ranks, self.split = ranks, Splitter(pattern)
-        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": "350MB"})
+        ranks = merges.ranks
+        self.split = Splitter(pattern)
+        spill = os.path.join(tempfile.gettempdir(), f"foliospark-bpe-{os.getpid()}")  # scratch of this process, removed by DuckDB
+        self.con = duckdb.connect(":memory:", config={"threads": 1, "memory_limit": MEMORY_LIMIT, "temp_directory": spill})
         self.con.execute("SET preserve_insertion_order = false")
-        pairs = [(ranks[x[:i]], ranks[x[i:]], r) for x, r in ranks.items() for i in range(1, len(x)) if x[:i] in ranks and x[i:] in ranks]
-        #: Tokens that can be part of a token of lower rank: only their leftmost pair is contracted in a step.
-        self.late = {t for a, b, r in pairs for t in (a, b) if r < t and t > 255}
-        table = pa.table({"ab": pa.array([a * 65536 + b for a, b, _ in pairs], pa.int64()), "t": pa.array([r for *_, r in pairs], pa.int64())})
-        vocabulary = pa.table({"id": pa.array(list(ranks.values()), pa.int64()), "hex": pa.array([x.hex() for x in ranks])})
-        self.con.register("merges_in", table)
-        self.con.register("vocabulary_in", vocabulary)
-        self.con.execute("CREATE TABLE merges AS SELECT * FROM merges_in; CREATE TABLE vocabulary AS SELECT * FROM vocabulary_in")
-        self.con.unregister("merges_in")
-        self.con.unregister("vocabulary_in")
-        self.known: dict[str, tuple[int, ...]] = {}
-        self.bytes = [ranks[bytes([b])] for b in range(256)]
-
-    def _words(self, words: list[bytes]) -> pa.Table:
-        import numpy as np
-
-        sizes = np.array([len(w) for w in words])
-        flat = np.frombuffer(b"".join(words), np.uint8)
-        w = np.repeat(np.arange(len(words), dtype=np.int64), sizes)
-        g = np.arange(len(flat), dtype=np.int64)
-        t = np.array(self.bytes, np.int64)[flat]
-        last = np.zeros(len(flat), bool)
-        last[np.cumsum(sizes) - 1] = True
-        return pa.table({"w": w, "g": g, "t": t, "t2": pa.array(np.roll(t, -1), mask=last), "g2": pa.array(g + 1, mask=last)})
-
-    def _contract(self, words: list[bytes]) -> list[tuple[int, ...]]:
-        out: list[tuple[int, ...]] = [()] * len(words)
-        at = 0
+        small = lambda x: x.astype(np.int32)
+        self._table("merges", ab=merges.merges[0], t=small(merges.merges[1]), late=merges.merges[2] > 0)
+        self._table("before", ab=merges.before[0], r=small(merges.before[1]), longer=small(merges.before[2]))
+        self._table("after", ab=merges.after[0], least=small(merges.after[1]))
+        self._table("vocabulary", id=np.fromiter(ranks.values(), np.int64), hex=[x.hex() for x in ranks])
+        self.single = ranks
+        self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.names = pa.array([str(i) for i in range(max(ranks.values()) + 1)])
+        self.known: dict[str, int] = {}
+        self.starts, self.sizes, self.met, self.flat, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(1 << 16, np.int32), 0
+
+    def _table(self, name: str, **columns) -> None:
+        self.con.register("source", pa.table(columns))
+        self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM source")
+        self.con.unregister("source")
+
+    def _forget(self, most: int) -> None:
+        """Forgets pre-tokens that weren't met again since they were learned or kept here, and all if many are left.
+
+        known: places of pre-tokens in starts and sizes, which say where in flat their ids are; met: met again.
+        """
+        keep = np.flatnonzero(self.met) if self.met.sum() * 2 <= most else np.zeros(0, np.int64)
+        words = list(self.known)  # in the order of their places
+        self.known = {words[k]: i for i, k in enumerate(keep.tolist())}
+        sizes, old = self.sizes[keep], self.starts[keep]
+        self.starts = np.cumsum(sizes) - sizes
+        ids = self.flat[np.repeat(old - self.starts, sizes) + np.arange(sizes.sum())]
+        self.sizes, self.met, self.used = sizes, np.zeros(len(keep), bool), len(ids)
+        self.flat = np.concatenate([ids, np.zeros(max(1 << 16, len(ids)), np.int32)])
+
+    def _contract(self, words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        """The words' ids, one after the other, and how many each has."""
+        ids, counts, at = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
         while at < len(words):
             size, end = 0, at
             while end < len(words) and (end == at or size + len(words[end]) <= QUERY_BYTES):
                 size += len(words[end])
                 end += 1
-            self.con.register("words", self._words(words[at:end]))
-            got = self.con.execute(_RECURSIVE).to_arrow_table()
+            sizes = np.array([len(w) for w in words[at:end]])
+            flat = np.frombuffer(b"".join(words[at:end]), np.uint8)
+            t = self.bytes[flat]
+            t[np.cumsum(sizes) - sizes] += FIRST
+            self.con.register("words", pa.table({"w": np.repeat(np.arange(end - at, dtype=np.int32), sizes), "g": np.arange(len(flat), dtype=np.int32), "t": t}))
+            got = self.con.sql(_RECURSIVE).to_arrow_table()
             self.con.unregister("words")
-            for w, ids in zip(got["w"].to_pylist(), got["ids"].to_pylist(), strict=True):
-                out[at + w] = tuple(ids)
+            ids.append(got["t"].to_numpy())
+            counts.append(np.bincount(got["w"].to_numpy(), minlength=end - at))
             at = end
-        return out
-
-    def _contract_long(self, word: bytes) -> tuple[int, ...]:
-        con = self.con
-        con.register("words", self._words([word]))
-        con.execute("CREATE OR REPLACE TEMP TABLE state AS SELECT g, t FROM words")
-        con.unregister("words")
-        while (x := con.execute(_LEAST).fetchall()[0][0]) is not None:
-            token, place = divmod(x, 1 << 40)
-            con.execute("CREATE OR REPLACE TEMP TABLE next_state AS " + _CONTRACT, {"t": token, "last": place if token in self.late else len(word)})
-            con.execute("DROP TABLE state; ALTER TABLE next_state RENAME TO state")
-        return tuple(r[0] for r in con.execute("SELECT t FROM state ORDER BY g").fetchall())
-
-    def learn(self, words: set[str]) -> None:
-        """Adds the encodings of the pre-tokens to what is known."""
-        plain: list[str] = []
-        raw: list[bytes] = []
-        for word in words:
-            data = word.encode("utf-8", "surrogatepass")
-            rank = self.ranks.get(data)
-            if rank is not None:
-                self.known[word] = (rank,)
-            elif len(data) > LONG:
-                self.known[word] = self._contract_long(data)
-            else:
-                plain.append(word)
-                raw.append(data)
-        self.known.update(zip(plain, self._contract(raw), strict=True))
-
-    def encode(self, texts: list[str | None]) -> list[list[int]]:
-        """The ids of each text."""
+        return np.concatenate(ids), np.concatenate(counts)
+
+    def _learn(self, words: list[str]) -> None:
+        """Adds the encodings of the pre-tokens, none of them known, to what is known."""
+        raw = [w.encode("utf-8", "surrogatepass") for w in words]
+        single = [self.single.get(x) for x in raw]
+        sizes = np.ones(len(words), np.int64)
+        many = np.array([k for k, s in enumerate(single) if s is None], np.int64)
+        ids, sizes[many] = self._contract([raw[k] for k in many])
+        starts = np.cumsum(sizes) - sizes
+        while self.used + sizes.sum() > len(self.flat):
+            self.flat = np.concatenate([self.flat, np.zeros_like(self.flat)])
+        new = self.flat[self.used : self.used + int(sizes.sum())]
+        of = np.repeat(np.array([s is None for s in single], bool), sizes)
+        new[of] = ids
+        new[~of] = [s for s in single if s is not None]
+        self.known.update(zip(words, range(len(self.known), len(self.known) + len(words)), strict=True))
+        self.starts, self.sizes, self.met = np.concatenate([self.starts, starts + self.used]), np.concatenate([self.sizes, sizes]), np.concatenate([self.met, np.zeros(len(words), bool)])
+        self.used += len(new)
+
+    def encode(self, texts: Sequence[str | None]) -> tuple[np.ndarray, np.ndarray]:
+        """The texts' ids, one after the other, and how many each has."""
         split = [self.split(t) for t in texts]
-        new = set().union(*split) - self.known.keys()
-        if len(self.known) + len(new) > CACHE_WORDS:
-            self.known.clear()
-            new = set().union(*split)
-        self.learn(new)
-        get = self.known.__getitem__
-        return [list(chain.from_iterable(map(get, s))) for s in split]
-
-    def decode(self, ids: list[list[int]], what: str = "unhex(h)") -> list:
-        """The bytes of each list of ids; what: an SQL expression of their hex string h."""
-        out: list = [None] * len(ids)
-        at = 0
-        while at < len(ids):
-            size, end = 0, at
-            while end < len(ids) and (end == at or size + len(ids[end]) <= QUERY_IDS):
-                size += len(ids[end])
-                end += 1
-            import numpy as np
-
-            part = ids[at:end]
-            sizes = np.array([len(x) for x in part])
-            flat = np.fromiter(chain.from_iterable(part), np.int64, int(sizes.sum()))
-            self.con.register("tokens", pa.table({"d": np.repeat(np.arange(len(part), dtype=np.int64), sizes), "p": np.arange(len(flat), dtype=np.int64), "id": flat}))
-            got = self.con.execute(f"SELECT d, {what} AS x FROM (SELECT d, string_agg(hex, '' ORDER BY p) AS h FROM tokens JOIN vocabulary USING (id) GROUP BY d)").to_arrow_table()
-            self.con.unregister("tokens")
-            for d, x in zip(got["d"].to_pylist(), got["x"].to_pylist(), strict=True):
-                out[at + d] = x
-            at = end
+        flat = list(chain.from_iterable(split))
+        if len(self.known) > CACHE_WORDS:
+            self._forget(CACHE_WORDS)
+        before = len(self.known)
+        if new := {w for w in flat if w not in self.known}:
+            self._learn(list(new))
+        at = np.fromiter(map(self.known.__getitem__, flat), np.int64, len(flat))
+        self.met[at[at < before]] = True
+        sizes = self.sizes[at]
+        ends = np.concatenate([[0], np.cumsum(sizes)])
+        ids = self.flat[np.repeat(self.starts[at] - ends[:-1], sizes) + np.arange(ends[-1])]
+        bounds = ends[np.cumsum([0, *map(len, split)])]
+        return ids, np.diff(bounds)
+
+    def decode(self, ids: np.ndarray, counts: np.ndarray) -> list[str]:
+        """The bytes of each list of ids in hex."""
+        self.con.register("tokens", pa.table({"d": np.repeat(np.arange(len(counts), dtype=np.int64), counts), "p": np.arange(len(ids), dtype=np.int64), "id": ids.astype(np.int64)}))
+        got = self.con.sql(_DECODE).to_arrow_table()
+        self.con.unregister("tokens")
+        out = [""] * len(counts)
+        for d, h in zip(got["d"].to_pylist(), got["h"].to_pylist(), strict=True):
+            out[d] = h
         return out
 
 
+def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
+    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))
+
+
+def _slices(sizes: Sequence[int], most: int) -> Iterator[slice]:
+    """Slices of things of these sizes with about so much in each (one thing may have more)."""
+    begin = total = 0
+    for k, n in enumerate(sizes):
+        if k > begin and total + n > most:
+            yield slice(begin, k)
+            begin, total = k, 0
+        total += n
+    if len(sizes):
+        yield slice(begin, len(sizes))
+
+
 _SHARED: dict[tuple, Codec] = {}
 
 
-def _codec(ranks: dict[bytes, int], pattern: str, key: tuple) -> Codec:
+def _codec(merges: Merges, pattern: str, key: tuple) -> Codec:
     """One codec for each worker process and vocabulary."""
     if key not in _SHARED:
         _SHARED.clear()
-        _SHARED[key] = Codec(ranks, pattern)
+        _SHARED[key] = Codec(merges, pattern)
     return _SHARED[key]
 
 
@@ -237,26 +297,38 @@ def load_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
         return read_ranks([r[0] for r in spark.read.text(path).collect()])  # a vocabulary
 
 
-def encode(df: DataFrame, ranks_file: str, pattern: str, *, text_col: str = "text", with_ids: bool = True, hashes: bool = False) -> DataFrame:
-    """df with ids (array of int) and n_tokens; with hashes ids_sha256 and decoded_sha256 (of the decoded bytes), too."""
-    spark = df.sparkSession
+def _shared_codec(spark: SparkSession, ranks_file: str, pattern: str):
+    """A function that gives a task its process's codec; the merge tables are broadcast, a vocabulary's size."""
     ranks = load_ranks(spark, ranks_file)
+    if max(ranks.values(), default=0) >= FIRST:
+        raise ValueError("vocabularies beyond 65536 tokens don't fit the merge tables' keys")
     key = (ranks_file, len(ranks), pattern)
-    shared = spark.sparkContext.broadcast(ranks)  # the size of a vocabulary
-    empty = hashlib.sha256(b"").hexdigest()
+    shared = spark.sparkContext.broadcast(Merges(ranks))
+    return lambda: _codec(shared.value, pattern, key)
+
+
+def encode(df: DataFrame, ranks_file: str, pattern: str, *, text_col: str = "text", with_ids: bool = True, hashes: bool = False) -> DataFrame:
+    """df with ids (array of int) and n_tokens; with hashes ids_sha256 and decoded_sha256 (of the decoded bytes), too."""
+    get_codec = _shared_codec(df.sparkSession, ranks_file, pattern)
 
     def make():
-        codec = _codec(shared.value, pattern, key)
+        codec = get_codec()
 
-        def compute(batch: pa.RecordBatch):
-            ids = codec.encode(text_of(batch, text_col))
-            out = [pa.array(ids, pa.list_(pa.int32()))] if with_ids else []
-            out.append(pa.array([len(x) for x in ids], pa.int64()))
+        def part(texts: list[str | None]) -> list[pa.Array]:
+            ids, counts = codec.encode(texts)
+            out = [_lists(ids, counts)] if with_ids else []
+            out.append(pa.array(counts, pa.int64()))
             if hashes:
-                out.append(pa.array([hashlib.sha256(",".join(map(str, x)).encode()).hexdigest() for x in ids], pa.string()))
-                out.append(pa.array([x or empty for x in codec.decode(ids, "sha256(unhex(h))")], pa.string()))
+                names = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), codec.names.take(pa.array(ids)))
+                out.append(pa.array([hashlib.sha256(x.encode()).hexdigest() for x in pc.binary_join(names, ",").to_pylist()]))
+                out.append(pa.array([hashlib.sha256(bytes.fromhex(h)).hexdigest() for h in codec.decode(ids, counts)]))
             return out
 
+        def compute(batch: pa.RecordBatch):
+            texts = text_of(batch, text_col)
+            parts = [part(texts[s]) for s in _slices([len(t or "") for t in texts], SLICE_CHARS)] or [part([])]
+            return [pa.concat_arrays(column) for column in zip(*parts, strict=True)]
+
         return compute
 
     fields = [("ids", T.ArrayType(T.IntegerType()))] * with_ids + [("n_tokens", T.LongType())] + [("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())] * hashes
@@ -265,16 +337,18 @@ def encode(df: DataFrame, ranks_file: str, pattern: str, *, text_col: str = "tex
 
 def decode(df: DataFrame, ranks_file: str, pattern: str, *, ids_col: str = "ids") -> DataFrame:
     """df with decoded (binary): the bytes of ids (null: none)."""
-    spark = df.sparkSession
-    ranks = load_ranks(spark, ranks_file)
-    key = (ranks_file, len(ranks), pattern)
-    shared = spark.sparkContext.broadcast(ranks)
+    get_codec = _shared_codec(df.sparkSession, ranks_file, pattern)
 
     def make():
-        codec = _codec(shared.value, pattern, key)
+        codec = get_codec()
 
         def compute(batch: pa.RecordBatch):
-            return [pa.array([x or b"" for x in codec.decode([i or [] for i in text_of(batch, ids_col)])], pa.binary())]
+            lists = [np.array(x or [], np.int64) for x in text_of(batch, ids_col)]
+            out = []
+            for s in _slices([len(x) for x in lists], SLICE_CHARS):
+                some = lists[s]
+                out += [bytes.fromhex(h) for h in codec.decode(np.concatenate(some), np.array([len(x) for x in some]))]
+            return [pa.array(out, pa.binary())]
 
         return compute
 

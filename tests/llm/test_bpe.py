@@ -1,5 +1,6 @@
 import hashlib
 import random
+import time
 
 import pandas as pd
 import public_tokenizers
@@ -42,10 +43,43 @@ def test_ids_equal_the_library_and_decode_back(spark, documents):
 def test_leftmost_contraction_of_long_words_when_ranks_are_not_in_order():
     ranks = {bytes([i]): i for i in range(256)} | {b"xa": 256, b"xab": 257, b"ab": 258}
     enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-    codec = bpe.Codec(ranks, public_tokenizers.PATTERN)
-    assert codec.late == {258}
-    text = "xabab" * 60
-    assert codec.encode([text])[0] == enc.encode_ordinary(text)
+    codec = bpe.Codec(bpe.Merges(ranks), public_tokenizers.PATTERN)
+    for text in ("xabab" * 60, "abxab" * 50, "ababab", "xab"):
+        ids, counts = codec.encode([text])
+        assert ids.tolist() == enc.encode_ordinary(text)
+        assert counts.tolist() == [len(ids)]
+
+
+def test_random_vocabularies_and_words_of_any_length():
+    rng = random.Random(9)
+    for _ in range(25):
+        ranks = {bytes([i]): i for i in range(256)}
+        words = list({"".join(rng.choice("abc") for _ in range(rng.randrange(2, 7))) for _ in range(rng.randrange(1, 60))})
+        rng.shuffle(words)
+        ranks |= {w.encode(): 256 + i for i, w in enumerate(words)}  # in no order of length, not all can be reached
+        enc = tiktoken.Encoding("own", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
+        codec = bpe.Codec(bpe.Merges(ranks), public_tokenizers.PATTERN)
+        texts = ["".join(rng.choice("abcd") for _ in range(rng.randrange(1, 400))) for _ in range(40)] + ["a" * 37, "ab" * 33, "aab" * 21]
+        ids, counts = codec.encode(texts)
+        assert ids.tolist() == [t for x in texts for t in enc.encode_ordinary(x)]
+        assert counts.tolist() == [len(enc.encode_ordinary(x)) for x in texts]
+
+
+def test_long_runs_take_seconds_and_forgetting_changes_nothing(monkeypatch):
+    monkeypatch.setattr(bpe, "CACHE_WORDS", 50)
+    ranks, enc = reference()
+    codec = bpe.Codec(bpe.Merges(ranks), public_tokenizers.PATTERN)
+    rng = random.Random(4)
+    runs = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(16_000)), "".join(chr(rng.randrange(0x4E00, 0x9000)) for _ in range(330_000))]
+    began = time.time()
+    ids, _ = codec.encode(runs)
+    assert time.time() - began < 120
+    assert ids.tolist() == [t for x in runs for t in enc.encode_ordinary(x)]
+    for at in range(0, len(TEXTS), 30):
+        some = [t or "" for t in TEXTS[at : at + 30]]
+        ids, counts = codec.encode(some)
+        assert ids.tolist() == [t for x in some for t in enc.encode_ordinary(x)]
+        assert len(codec.known) == len(codec.sizes) == len(codec.met)
 
 
 def test_query_on_the_whole_table(spark):
