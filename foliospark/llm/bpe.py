@@ -27,7 +27,7 @@ import hashlib
 import os
 import re
 import tempfile
-from collections.abc import Iterator, Sequence
+from collections.abc import Sequence
 from itertools import chain
 
 import numpy as np
@@ -36,7 +36,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
-from foliospark.llm.common import append_columns, read_table, text_of
+from foliospark.llm.common import append_columns, read_table, slices, text_of
 
 CACHE_WORDS = 250_000
 #: Characters of texts that are encoded at a time, and rows in one recursive query (a single text or word may have more).
@@ -265,18 +265,6 @@ def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))
 
 
-def _slices(sizes: Sequence[int], most: int) -> Iterator[slice]:
-    """Slices of things of these sizes with about so much in each (one thing may have more)."""
-    begin = total = 0
-    for k, n in enumerate(sizes):
-        if k > begin and total + n > most:
-            yield slice(begin, k)
-            begin, total = k, 0
-        total += n
-    if len(sizes):
-        yield slice(begin, len(sizes))
-
-
 _SHARED: dict[tuple, Codec] = {}
 
 
@@ -326,7 +314,7 @@ def encode(df: DataFrame, ranks_file: str, pattern: str, *, text_col: str = "tex
 
         def compute(batch: pa.RecordBatch):
             texts = text_of(batch, text_col)
-            parts = [part(texts[s]) for s in _slices([len(t or "") for t in texts], SLICE_CHARS)] or [part([])]
+            parts = [part(texts[s]) for s in slices([len(t or "") for t in texts], SLICE_CHARS)] or [part([])]
             return [pa.concat_arrays(column) for column in zip(*parts, strict=True)]
 
         return compute
@@ -345,7 +333,7 @@ def decode(df: DataFrame, ranks_file: str, pattern: str, *, ids_col: str = "ids"
         def compute(batch: pa.RecordBatch):
             lists = [np.array(x or [], np.int64) for x in text_of(batch, ids_col)]
             out = []
-            for s in _slices([len(x) for x in lists], SLICE_CHARS):
+            for s in slices([len(x) for x in lists], SLICE_CHARS):
                 some = lists[s]
                 out += [bytes.fromhex(h) for h in codec.decode(np.concatenate(some), np.array([len(x) for x in some]))]
             return [pa.array(out, pa.binary())]

@@ -15,7 +15,7 @@ WORD = r"[^\x20\x09-\x0D]+"
 
 #: Arrow batches handed to Python workers: rows and bytes at most.
 BATCH_ROWS = 2000
-BATCH_BYTES = 16 << 20
+BATCH_BYTES = 4 << 20
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -79,6 +79,18 @@ def text_of(batch: pa.RecordBatch, column: str) -> list[str | None]:
     return batch.column(batch.schema.get_field_index(column)).to_pylist()
 
 
+def slices(sizes: Sequence[int], most: int) -> Iterator[slice]:
+    """Slices of things of these sizes with at most so much in each (one thing may have more)."""
+    begin = total = 0
+    for k, n in enumerate(sizes):
+        if k > begin and total + n > most:
+            yield slice(begin, k)
+            begin, total = k, 0
+        total += n
+    if len(sizes):
+        yield slice(begin, len(sizes))
+
+
 def words_in(column) -> F.Column:
     """Number of words of a text (null: 0)."""
     return F.coalesce(F.regexp_count(column, F.lit(WORD)), F.lit(0)).cast("long")

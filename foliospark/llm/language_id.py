@@ -1,25 +1,30 @@
 """Language ID by segmentation-marginalised unigrams.
 
-The text's letter runs, lower-cased and with the word mark before them, are cut into pieces of a fixed public
-vocabulary in every possible way. A language's probability of a word is the sum over all segmentations of the
-product of its piece probabilities, found by the forward algorithm; a text's log-probability is the sum over its
-words. Piece probabilities are learned from labelled rows by expectation steps (forward-backward) on word counts,
+The text's letter runs (Unicode letters), lower-cased and with the word mark before them, are cut into pieces of a
+fixed public vocabulary in every possible way. A language's probability of a word is the sum over all segmentations
+of the product of its piece probabilities, found by the forward algorithm; a text's log-probability is the sum over
+its words. Piece probabilities are learned from labelled rows by expectation steps (forward-backward) on word counts,
 the first from equal probabilities. Every letter is a segment of its own with a small probability when it isn't in
-the vocabulary. Words beyond MAX_WORD letters are scored in parts of that length, all of them.
+the vocabulary. Words of any length are summed whole: sums are kept in proportion to a scale for each word and
+language, so that none is too small for a float.
 
 Learning takes at most about max_docs labelled rows of each language, chosen by a hash of doc_id; prediction
 takes every row and whole texts. The model is languages x pieces floats; MODEL_BYTES bounds what is broadcast.
 
 Defined results: a text that is null or has no letter gets `und` and score 0. score is the language's share of the
 probability with equal priors; ties go to the language first in code point order. Repeated rows are scored alike.
-Without any labelled row each text gets `und` and score 0. Input columns named like an output are replaced.
+Without any labelled row each text gets `und` and score 0. Input columns named like an output are replaced. An empty
+table gives no rows.
 """
 
 from __future__ import annotations
 
 import re
+import sys
 from collections import Counter
 from collections.abc import Iterator
+from functools import cache
+from itertools import chain, groupby
 
 import numpy as np
 import pandas as pd
@@ -28,14 +33,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliospark.llm.common import append_columns, bound_batches, cut, read_table, text_of
+from foliospark.llm.common import append_columns, bound_batches, cut, read_table, slices, text_of
 
 MARK = "▁"
-MAX_WORD = 48
-MAX_PIECE = 16
 MAX_DOCS = 1500
 MODEL_BYTES = 128 << 20
-CACHE_WORDS = 300_000
+CACHE_WORDS = 200_000
+#: Characters of texts that are judged at a time, and letters whose segmentations are (one text or word may have more).
+SLICE_CHARS = 1_000_000
+LATTICE_LETTERS = 100_000
+#: Letters after which sums are scaled again.
+RESCALE = 8
 SMOOTHING = 0.5
 UNKNOWN = 1e-9
 #: How well labelled texts fit their language: of those, the share that is left out, and what a text may lack to the
@@ -43,7 +51,6 @@ UNKNOWN = 1e-9
 FIT_SHARE = 0.01
 FIT_MARGIN = 1.0
 FIT_SLACK = 40.0
-_LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def load_pieces(model_file: str) -> list[str]:
@@ -52,107 +59,218 @@ def load_pieces(model_file: str) -> list[str]:
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
     pieces = (sp.id_to_piece(i) for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)))
-    kept = {p for p in pieces if len(p) <= MAX_PIECE and p == p.lower() and p.removeprefix(MARK).isalpha() and MARK not in p[1:]}
+    kept = {p for p in pieces if p == p.lower() and p.removeprefix(MARK).isalpha() and MARK not in p[1:]}
     return sorted(kept | {MARK})
 
 
-def words_of(text: str | None) -> list[str]:
-    """Letter runs of the whole text with the word mark, in parts of MAX_WORD letters at most."""
-    out = []
-    for w in _LETTERS.findall((text or "").lower()):
-        if len(w) <= MAX_WORD:
-            out.append(MARK + w)
-        else:
-            out += [(MARK if i == 0 else "") + w[i : i + MAX_WORD] for i in range(0, len(w), MAX_WORD)]
-    return out
+@cache
+def _letter_runs() -> re.Pattern:
+    """Runs of Unicode letters."""
+    letters = [c for c in map(chr, range(sys.maxunicode + 1)) if c.isalpha()]
+    runs = [[c for _, c in g] for _, g in groupby(enumerate(letters), lambda x: ord(x[1]) - x[0])]
+    return re.compile("[" + "".join(f"{r[0]}-{r[-1]}" for r in runs) + "]+")
+
+
+#: Latin-1 as bytes, with spaces for all that aren't letters.
+_LATIN_LETTERS = bytes(c if chr(c).isalpha() else 32 for c in range(256))
+
+
+def _runs(text: str | None) -> list[bytes] | list[str]:
+    """Lower-cased letter runs of the whole text; in Latin-1 if the text can be, which is faster."""
+    low = (text or "").lower()
+    try:
+        return low.encode("latin-1").translate(_LATIN_LETTERS).split()
+    except UnicodeEncodeError:
+        return _letter_runs().findall(low)
 
 
-def _edges(words: list[str], ids: dict[str, int]) -> tuple[np.ndarray, ...]:
-    """All piece occurrences: (word, start, end, piece); piece -1: a letter outside the vocabulary."""
-    which, start, end, piece = [], [], [], []
-    find = ids.get
-    for k, w in enumerate(words):
-        n = len(w)
-        for i in range(n):
-            for j in range(i + 1, min(n, i + MAX_PIECE) + 1):
-                p = find(w[i:j])
-                if p is None:
-                    if j > i + 1:
-                        continue
-                    p = -1
-                which.append(k)
-                start.append(i)
-                end.append(j)
-                piece.append(p)
-    return tuple(np.array(x, dtype=np.int64) for x in (which, start, end, piece))
-
-
-def _forward(n_words: int, longest: int, edges, probs: np.ndarray) -> np.ndarray:
-    """alpha[word, position, language]: summed probability of all segmentations up to the position."""
-    which, start, end, piece = edges
-    n_lang = probs.shape[0]
-    alpha = np.zeros((n_words, longest + 1, n_lang))
-    alpha[:, 0] = 1.0
-    order = np.argsort(end, kind="stable")
-    bounds = np.searchsorted(end[order], np.arange(longest + 2))
-    table = np.ascontiguousarray(np.vstack([probs.T, np.full((1, n_lang), UNKNOWN)]))  # piece -1 is the last row
-    for j in range(1, longest + 1):
-        e = order[bounds[j] : bounds[j + 1]]
-        if len(e):
-            add = alpha[which[e], start[e]] * table[piece[e]]
-            for lang in range(n_lang):
-                alpha[:, j, lang] = np.bincount(which[e], weights=add[:, lang], minlength=n_words)
-    return alpha
-
-
-def log_scores(words: list[str], ids: dict[str, int], probs: np.ndarray) -> np.ndarray:
-    """log P(word | language) as words x languages."""
-    out = np.zeros((len(words), probs.shape[0]), dtype=np.float64)
-    order = sorted(range(len(words)), key=lambda k: len(words[k]))
-    for at in range(0, len(order), 20_000):
-        part = order[at : at + 20_000]
-        ws = [words[k] for k in part]
-        lengths = np.array([len(w) for w in ws])
-        alpha = _forward(len(ws), int(lengths.max()), _edges(ws, ids), probs)
-        out[part] = np.log(np.maximum(alpha[np.arange(len(ws)), lengths], 1e-300))
+def _word(run: bytes | str) -> str:
+    return run.decode("latin-1") if isinstance(run, bytes) else run
+
+
+def words_of(text: str | None) -> list[str]:
+    """Lower-cased letter runs of the whole text."""
+    return [_word(r) for r in _runs(text)]
+
+
+class Trie:
+    """Pieces in a double array: letter c leads from node x to y = base[x] + code of c, if owner[y] is x. piece[y] is the
+    number of the piece that ends there, or -1. Letters that no piece has get code 0, which leads nowhere."""
+
+    def __init__(self, pieces: list[str]):
+        self.n, self.longest = len(pieces), max(map(len, pieces), default=1)
+        letters = [c for c, _ in Counter("".join(pieces)).most_common()]
+        self.codes = np.zeros(max(map(ord, letters), default=0) + 2, np.int32)  # the last one is for letters beyond
+        self.codes[[ord(c) for c in letters]] = np.arange(1, len(letters) + 1)
+        root: dict = {}
+        for k, p in enumerate(pieces):
+            node = root
+            for c in p:
+                node = node.setdefault(int(self.codes[ord(c)]), {})
+            node[0] = k
+        base, owner, piece, used = {0: 0}, {}, {}, bytearray(1 << 16)
+        used[0] = first = 1
+        nodes = [(0, root)]
+        for at, kids in nodes:  # grows while it is read
+            codes = sorted(c for c in kids if c)
+            piece[at] = kids.get(0, -1)
+            if not codes:
+                continue
+            free = first = used.find(0, first)
+            while free < codes[0] or any(used[free - codes[0] + c] for c in codes):
+                free = used.find(0, free + 1)
+                if free + len(letters) + 2 > len(used):
+                    used += bytes(len(used))
+            base[at] = free - codes[0]
+            for c in codes:
+                y = base[at] + c
+                used[y], owner[y] = 1, at
+                nodes.append((y, kids[c]))
+            if first + len(letters) + 2 > len(used):
+                used += bytes(len(used))
+        size = max(piece) + len(letters) + 2
+        self.base, self.owner, self.piece = np.zeros(size, np.int32), np.full(size, -1, np.int32), np.full(size, -1, np.int32)
+        for array, found in ((self.base, base), (self.owner, owner), (self.piece, piece)):
+            array[list(found)] = list(found.values())
+
+
+class Lattice:
+    """All pieces that stand in words. Words go from long to short, and letters by position: first that of each word,
+    then the second of each that has one. edges[d]: (start, piece) of the pieces of d letters, by start; the piece after
+    the last one stands for a letter that isn't a piece."""
+
+    def __init__(self, words: list[str], trie: Trie):
+        sizes = np.array([len(w) for w in words])
+        self.order = np.argsort(-sizes, kind="stable")
+        sizes = sizes[self.order]
+        self.n, self.longest, self.depth = len(words), int(sizes[0]), trie.longest
+        #: How many words have more letters than so many, and where the letters at a position begin.
+        self.more = np.searchsorted(-sizes, -np.arange(self.longest + 1)).tolist()
+        begins = np.concatenate([[0], np.cumsum(self.more)])
+        self.begins = begins.tolist()
+        place = np.repeat(np.arange(self.longest), self.more[:-1])
+        word = np.arange(len(place)) - begins[place]
+        points = np.frombuffer("".join(words[k] for k in self.order).encode("utf-32-le", "surrogatepass"), np.uint32)
+        codes = trie.codes[np.minimum(points, len(trie.codes) - 1)][(np.cumsum(sizes) - sizes)[word] + place]
+        at, node = np.arange(len(place)), np.zeros(len(place), np.int32)
+        self.edges: list[tuple] = [()]
+        for d in range(1, trie.longest + 1):
+            inside = place[at] + d <= sizes[word[at]]
+            at, node = at[inside], node[inside]
+            to = trie.base[node] + codes[begins[place[at] + d - 1] + word[at]]
+            there = trie.owner[to] == node
+            if d == 1:
+                piece = np.where(there, trie.piece[to], -1)
+                starts, piece = at, np.where(piece < 0, trie.n, piece)
+            at, node = at[there], to[there]
+            if d > 1:
+                piece = trie.piece[node]
+                starts, piece = at[piece >= 0], piece[piece >= 0]
+            self.edges.append((starts, piece, np.searchsorted(starts, begins).tolist()))
+            if not len(at):
+                break
+
+    def _at(self, i: int, d: int) -> tuple | None:
+        """(words, pieces) of the pieces of d letters from position i."""
+        starts, piece, bounds = self.edges[d]
+        a, b = bounds[i], bounds[i + 1]
+        return (starts[a:b] - self.begins[i], piece[a:b]) if a < b else None
+
+    def forward(self, table: np.ndarray, kept: list | None = None) -> np.ndarray:
+        """log-probabilities of the words (by order), summed over segmentations, by the pieces' probabilities in table.
+
+        kept gets, for each position, the sums up to it and their scales (logs)."""
+        shape = (self.n, table.shape[1])
+        out, scale, recent = np.empty(shape), np.zeros(shape), {0: np.ones(shape)}
+        if kept is not None:
+            kept.append((recent[0], scale))
+        for j in range(1, self.longest + 1):
+            n, left = self.more[j - 1], self.more[j]
+            total = np.zeros((n, shape[1]))
+            for d in range(1, min(j, len(self.edges) - 1) + 1):
+                if found := self._at(j - d, d):
+                    total[found[0]] += recent[j - d][found[0]] * table[found[1]]
+            recent[j] = total
+            recent.pop(j - self.depth, None)
+            if kept is not None:
+                kept.append((total, scale))
+            out[left:n] = np.log(total[left:]) + scale[left:n]
+            if j % RESCALE == 0 and left:
+                recent, scale = _scaled(recent, scale, left)
+        return out
+
+    def backward(self, table: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each position the sums over segmentations of what follows it, and their scales (logs)."""
+        shape = (self.n, table.shape[1])
+        scale, recent, out = np.zeros(shape), {}, []
+        for i in range(self.longest, -1, -1):
+            n = self.more[i]
+            total = np.ones((self.more[i - 1] if i else self.n, shape[1]))
+            total[:n] = 0
+            for d in range(1, min(self.longest - i, len(self.edges) - 1) + 1):
+                if found := self._at(i, d):
+                    total[found[0]] += recent[i + d][found[0]] * table[found[1]]
+            recent[i] = total
+            recent.pop(i + self.depth, None)
+            out.append((total, scale))
+            if i % RESCALE == 0 and n:
+                recent, scale = _scaled(recent, scale, n)
+        return out[::-1]
+
+
+def _scaled(recent: dict[int, np.ndarray], scale: np.ndarray, n: int) -> tuple[dict[int, np.ndarray], np.ndarray]:
+    """The sums of the first n words over their largest, and the scales that make up for it."""
+    top = np.zeros((n, scale.shape[1]))
+    for x in recent.values():
+        np.maximum(top[: len(x)], x[:n], out=top[: len(x)])
+    scale = scale.copy()
+    scale[:n] += np.log(top)
+    new = {}
+    for i, x in recent.items():
+        new[i] = x.copy()
+        new[i][:n] /= top[: len(x)]
+    return new, scale
+
+
+def _table(probs: np.ndarray) -> np.ndarray:
+    """Probabilities by piece and language, with those of other letters at the end."""
+    return np.vstack([probs.T.astype(np.float64), np.full((1, probs.shape[0]), UNKNOWN)])
+
+
+def log_scores(words: list[str], trie: Trie, table: np.ndarray) -> np.ndarray:
+    """log P(word | language) as words x languages; words without the mark."""
+    out = np.zeros((len(words), table.shape[1]))
+    for s in slices([len(w) + 1 for w in words], LATTICE_LETTERS):
+        lattice = Lattice([MARK + w for w in words[s]], trie)
+        out[s.start + lattice.order] = lattice.forward(table)
     return out
 
 
-def expected_counts(words: list[str], counts: np.ndarray, ids: dict[str, int], probs: np.ndarray) -> np.ndarray:
+def expected_counts(words: list[str], counts: np.ndarray, trie: Trie, probs: np.ndarray) -> np.ndarray:
     """Expected piece counts (languages x pieces) of words with counts (words x languages), by forward-backward."""
-    total = np.zeros_like(probs)
-    order = sorted(range(len(words)), key=lambda k: len(words[k]))
-    n_lang, n_pieces = probs.shape
-    table = np.vstack([probs.T, np.full((1, n_lang), UNKNOWN)])
-    for at in range(0, len(order), 5_000):
-        part = order[at : at + 5_000]
-        ws = [words[k] for k in part]
-        lengths = np.array([len(w) for w in ws])
-        longest = int(lengths.max())
-        which, start, end, piece = edges = _edges(ws, ids)
-        alpha = _forward(len(ws), longest, edges, probs)
-        beta = np.zeros_like(alpha)
-        beta[np.arange(len(ws)), lengths] = 1.0
-        order_b = np.argsort(start, kind="stable")
-        bounds = np.searchsorted(start[order_b], np.arange(longest + 2))
-        for i in range(longest - 1, -1, -1):
-            e = order_b[bounds[i] : bounds[i + 1]]
-            if len(e):
-                add = beta[which[e], end[e]] * table[piece[e]]
-                for lang in range(n_lang):
-                    beta[:, i, lang] += np.bincount(which[e], weights=add[:, lang], minlength=len(ws))
-        z = np.maximum(alpha[np.arange(len(ws)), lengths], 1e-300)
-        share = alpha[which, start] * table[piece] * beta[which, end] / z[which] * counts[part][which]
-        known = piece >= 0
-        for lang in range(n_lang):
-            total[lang] += np.bincount(piece[known], weights=share[known, lang], minlength=n_pieces)
-    return total
+    table = _table(probs)
+    logs = np.log(table)
+    total = np.zeros((probs.shape[0], trie.n + 1))
+    for s in slices([len(w) + 1 for w in words], LATTICE_LETTERS):
+        lattice = Lattice([MARK + w for w in words[s]], trie)
+        before: list = []
+        all_ = lattice.forward(table, before)
+        after, n = lattice.backward(table), counts[s.start + lattice.order]
+        with np.errstate(divide="ignore"):
+            before, after = ([np.log(x) + scale[: len(x)] for x, scale in side] for side in (before, after))
+        for i in range(lattice.longest):
+            for d in range(1, min(lattice.longest - i, len(lattice.edges) - 1) + 1):
+                if found := lattice._at(i, d):
+                    w, piece = found
+                    share = np.exp(before[i][w] + after[i + d][w] + logs[piece] - all_[w]) * n[w]
+                    for lang in range(len(total)):
+                        total[lang] += np.bincount(piece, weights=share[:, lang], minlength=trie.n + 1)
+    return total[:, :-1]
 
 
 class LanguageModel:
-    def __init__(self, langs: list[str], pieces: list[str], probs: np.ndarray):
-        self.langs, self.pieces, self.probs = langs, pieces, probs.astype(np.float32)
-        self.ids = {p: i for i, p in enumerate(pieces)}
+    def __init__(self, langs: list[str], pieces: list[str] | Trie, probs: np.ndarray):
+        self.langs, self.trie, self.probs = langs, pieces if isinstance(pieces, Trie) else Trie(pieces), probs.astype(np.float32)
         if self.probs.nbytes > MODEL_BYTES:
             raise ValueError("the model is beyond MODEL_BYTES; use fewer languages or pieces")
 
@@ -191,22 +309,21 @@ def train(labelled: DataFrame, vocabulary: str, *, text_col: str = "text", lang_
     probs = np.full((max(1, len(langs)), len(pieces)), 1.0 / len(pieces))
     if not langs:
         return LanguageModel([], pieces, probs)
-    LanguageModel(langs, pieces, probs)  # the size check
+    trie = LanguageModel(langs, pieces, probs).trie  # checks the size
     words = cut(_word_counts(rows))
     wide = words.groupBy("word").agg(F.map_from_entries(F.collect_list(F.struct("lang", "n"))).alias("by"))  # an entry for each language
     index = {g: k for k, g in enumerate(langs)}
     for _ in range(steps):
-        shared = spark.sparkContext.broadcast((pieces, probs))
+        shared = spark.sparkContext.broadcast((trie, probs))
 
         def expect(frames: Iterator[pd.DataFrame], shared=shared) -> Iterator[pd.DataFrame]:
-            pieces, probs = shared.value
-            ids = {p: i for i, p in enumerate(pieces)}
+            trie, probs = shared.value
             for frame in frames:
                 counts = np.zeros((len(frame), len(langs)))
                 for k, by in enumerate(frame["by"]):
                     for g, n in dict(by).items():
                         counts[k, index[g]] = n
-                total = expected_counts(list(frame["word"]), counts, ids, probs)
+                total = expected_counts(list(frame["word"]), counts, trie, probs)
                 lang, piece = np.nonzero(total)
                 yield pd.DataFrame({"lang": lang, "piece": piece, "n": total[lang, piece]})
 
@@ -216,7 +333,7 @@ def train(labelled: DataFrame, vocabulary: str, *, text_col: str = "text", lang_
             total[r["lang"], r["piece"]] += r["n"]
         probs = total / total.sum(axis=1, keepdims=True)
         shared.unpersist()
-    return LanguageModel(langs, pieces, probs)
+    return LanguageModel(langs, trie, probs)
 
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())]
@@ -224,39 +341,56 @@ FIT_FIELDS = [T.StructField("lang_fit", T.DoubleType()), T.StructField("lang_cha
 
 
 class Scorer:
-    """Predictions for batches of texts; word scores are kept between batches, at most CACHE_WORDS of them."""
+    """Predictions for texts; word scores are kept between slices of them, about CACHE_WORDS and those of one slice."""
 
     def __init__(self, model: LanguageModel):
-        self.model, self.at, self.table = model, {}, np.zeros((0, len(model.langs)))
-
-    def _learn(self, words: list[str]) -> None:
-        new = [w for w in dict.fromkeys(words) if w not in self.at]
-        if len(self.at) + len(new) > CACHE_WORDS:
-            self.at, self.table = {}, self.table[:0]
-            new = list(dict.fromkeys(words))
-        if new:
-            self.at.update(zip(new, range(len(self.at), len(self.at) + len(new)), strict=True))
-            self.table = np.vstack([self.table, log_scores(new, self.model.ids, self.model.probs.astype(np.float64))])
+        self.model, self.probs = model, _table(model.probs)
+        self._forget()
+
+    def _forget(self) -> None:
+        self.at: dict[bytes | str, int] = {}
+        self.table = np.zeros((1 << 12, len(self.model.langs) + 1))  # the last column has the word's characters with its mark
+
+    def _learn(self, runs: list) -> None:
+        words = [_word(r) for r in runs]
+        begin = len(self.at)
+        while begin + len(words) > len(self.table):
+            self.table = np.concatenate([self.table, np.zeros_like(self.table)])
+        self.table[begin : begin + len(words), :-1] = log_scores(words, self.model.trie, self.probs)
+        self.table[begin : begin + len(words), -1] = [len(w) + 1 for w in words]
+        self.at.update(zip(runs, range(begin, begin + len(words)), strict=True))
 
     def predict(self, texts: list[str | None]) -> tuple[list[str], list[float]]:
         return self.judge(texts)[:2]
 
     def judge(self, texts: list[str | None]) -> tuple[list[str], list[float], list[float | None], list[int]]:
         """Language, score, log-probability in it a character (null for und), and characters with word marks."""
+        out: tuple[list, ...] = ([], [], [], [])
+        for s in slices([len(t or "") for t in texts], SLICE_CHARS):
+            for whole, part in zip(out, self._judge(texts[s]), strict=True):
+                whole += part
+        return out
+
+    def _judge(self, texts: list[str | None]) -> tuple[list, ...]:
         langs = self.model.langs
-        words = [words_of(t) for t in texts]
-        out, score = ["und"] * len(texts), [0.0] * len(texts)
-        fit, chars = [None] * len(texts), [sum(map(len, w)) for w in words]
+        words = [_runs(t) for t in texts]
+        out, score, fit, chars = ["und"] * len(texts), [0.0] * len(texts), [None] * len(texts), [0] * len(texts)
         full = [k for k, w in enumerate(words) if w]
         if not full or not langs:
             return out, score, fit, chars
-        flat = [w for k in full for w in words[k]]
-        self._learn(flat)
+        flat = list(chain.from_iterable(words))
+        if len(self.at) > CACHE_WORDS:
+            self._forget()
+        if new := {w for w in flat if w not in self.at}:
+            self._learn(list(new))
         starts = np.cumsum([0, *(len(words[k]) for k in full[:-1])])
-        total = np.add.reduceat(self.table[np.fromiter(map(self.at.__getitem__, flat), dtype=np.int64, count=len(flat))], starts, axis=0)
+        total = np.add.reduceat(self.table[np.fromiter(map(self.at.__getitem__, flat), np.int64, len(flat))], starts, axis=0)
+        total, size = total[:, :-1], total[:, -1]
         most = total.max(axis=1, keepdims=True)
         p = np.exp(total - most)
         p /= p.sum(axis=1, keepdims=True)
+        for k, n in zip(full, size, strict=True):
+            chars[k] = int(n)
         for k, best, row, m in zip(full, p.argmax(axis=1), p, most[:, 0], strict=True):
             out[k], score[k], fit[k] = langs[best], float(row[best]), float(m) / chars[k]
         return out, score, fit, chars

@@ -1,5 +1,7 @@
 import math
 import random
+import zlib
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -155,7 +157,7 @@ def all_segmentations(word, ids, probs):
     if not word:
         return np.ones(len(probs))
     total = np.zeros(len(probs))
-    for j in range(1, min(len(word), language_id.MAX_PIECE) + 1):
+    for j in range(1, len(word) + 1):
         if word[:j] in ids:
             total += probs[:, ids[word[:j]]] * all_segmentations(word[j:], ids, probs)
         elif j == 1:
@@ -163,18 +165,81 @@ def all_segmentations(word, ids, probs):
     return total
 
 
+def exact_log(word, ids, probs):
+    """The log of the sum over all segmentations, in fractions."""
+    sums = [Fraction(1)]
+    for j in range(1, len(word) + 1):
+        total = Fraction(0)
+        for i in range(j):
+            if word[i:j] in ids:
+                total += sums[i] * Fraction(float(probs[ids[word[i:j]]]))
+            elif i == j - 1:
+                total += sums[i] * Fraction(language_id.UNKNOWN)
+        sums.append(total)
+    return math.log(sums[-1].numerator) - math.log(sums[-1].denominator)
+
+
+PIECES = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "aba"]
+
+
 def test_forward_sums_all_segmentations_and_counts_add_up():
-    pieces = ["▁", "▁a", "a", "b", "ab", "▁ab", "ba", "aba"]
-    ids = {p: i for i, p in enumerate(pieces)}
-    probs = np.random.default_rng(1).dirichlet(np.ones(len(pieces)), 2)
-    words = ["▁abab", "▁a", "▁xab", "▁bbabab"]
-    got = np.exp(language_id.log_scores(words, ids, probs))
-    assert got == pytest.approx(np.array([all_segmentations(w, ids, probs) for w in words]))
+    ids = {p: i for i, p in enumerate(PIECES)}
+    probs = np.random.default_rng(1).dirichlet(np.ones(len(PIECES)), 2)
+    words, trie = ["abab", "a", "xab", "bbabab"], language_id.Trie(PIECES)
+    got = np.exp(language_id.log_scores(words, trie, language_id._table(probs)))
+    assert got == pytest.approx(np.array([all_segmentations("▁" + w, ids, probs) for w in words]))
     counts = np.array([[1.0, 0.0]] * 4)
-    total = language_id.expected_counts(words, counts, ids, probs)
+    total = language_id.expected_counts(words, counts, trie, probs)
     assert total[1].sum() == 0
-    lengths = np.array([len(p) for p in pieces])
-    assert (total[0] * lengths).sum() == pytest.approx(sum(len(w) for w in words) - 1)  # all letters but x
+    lengths = np.array([len(p) for p in PIECES])
+    assert (total[0] * lengths).sum() == pytest.approx(sum(len(w) + 1 for w in words) - 1)  # all letters but x
+    each = [language_id.expected_counts([w], counts[:1], trie, probs) for w in words]
+    assert total == pytest.approx(sum(each))
+
+
+def test_words_of_any_length_have_exact_sums():
+    rng = random.Random(8)
+    ids, trie = {p: i for i, p in enumerate(PIECES)}, language_id.Trie(PIECES)
+    probs = np.array([[0.3, 0.1, 0.05, 0.2, 1e-6, 0.3, 1e-8, 0.04], [1e-7, 0.5, 0.2, 0.1, 0.1, 0.05, 0.04, 0.01]])
+    words = ["x" * 40 + "aaaaa", "".join(rng.choice("abx") for _ in range(200)), "a" * 500, "ab", "x" * 300, ""]
+    got = language_id.log_scores(words, trie, language_id._table(probs))
+    for w, row in zip(words, got, strict=True):
+        assert row == pytest.approx([exact_log("▁" + w, ids, p) for p in probs], rel=1e-9)
+    assert got[0][0] != pytest.approx(got[0][1], rel=1e-3)
+    counts = np.ones((len(words), 2))
+    total = language_id.expected_counts(words, counts, trie, probs)
+    lengths = np.array([len(p) for p in PIECES])
+    letters = sum(len(w) + 1 - w.count("x") for w in words)
+    assert (total * lengths).sum(axis=1) == pytest.approx([letters, letters])
+
+
+def test_trie_holds_all_pieces_of_the_vocabulary():
+    pieces = language_id.load_pieces(language_id.default_vocabulary())
+    trie = language_id.Trie(pieces)
+    lattice = language_id.Lattice(pieces, trie)
+    whole = {}
+    for d, (starts, piece, _) in enumerate(lattice.edges[1:], 1):
+        for s, p in zip(starts[starts < lattice.n], piece[starts < lattice.n], strict=True):
+            if d == len(pieces[lattice.order[s]]):
+                whole[pieces[lattice.order[s]]] = pieces[p]
+    assert whole == {p: p for p in pieces}
+
+
+def test_letters_are_unicode_letters():
+    assert language_id.words_of("½ ² ① 12_x 漢字カナ Straße ªº Ⅷ 一") == ["x", "漢字カナ", "straße", "ªº", "一"]
+    assert language_id.words_of(None) == []
+
+
+def test_language_query_on_the_whole_table(spark):
+    sf = "/root/testdata/sf0.01"
+    truth = {r["doc_id"]: (r["lang"], r["text"]) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = language_id.op4_language_id(spark, sf).collect()
+    assert sorted(r["doc_id"] for r in rows) == sorted(truth)
+    held = [r for r in rows if r["held_out"]]
+    assert {r["doc_id"] for r in held} == {i for i in truth if zlib.crc32(str(i).encode()) % 5 == 0}
+    known = [r for r in held if truth[r["doc_id"]][0] is not None]
+    assert np.mean([r["lang_pred"] == truth[r["doc_id"]][0] for r in known]) > 0.97
+    assert all((r["lang_pred"] == "und") == (not any(c.isalpha() for c in truth[r["doc_id"]][1] or "")) for r in rows)
 
 
 def test_languages_of_held_out_rows_and_odd_texts(spark, documents):
@@ -183,7 +248,7 @@ def test_languages_of_held_out_rows_and_odd_texts(spark, documents):
     rows = language_id.predict(docs.where("held").drop("lang", "source"), model).join(docs.select("doc_id", "lang"), "doc_id").collect()
     assert len(rows) > 100
     assert np.mean([r["lang_pred"] == r["lang"] for r in rows]) > 0.97
-    odd = language_id.predict(documents([*NASTY, "12 34 !", "漢" * 200]), model).orderBy("doc_id").collect()
+    odd = language_id.predict(documents([*NASTY, "12 34 ! ½ ² ①", "漢" * 200]), model).orderBy("doc_id").collect()
     assert [r["lang_pred"] == "und" for r in odd[:4]] == [True] * 4 and odd[len(NASTY)]["lang_pred"] == "und"
     assert all((r["score"] == 0) == (r["lang_pred"] == "und") and 0 <= r["score"] <= 1 for r in odd)
     assert odd[len(NASTY) + 1]["lang_pred"] in model.langs and not math.isnan(odd[-1]["score"])
