@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
 
@@ -44,6 +45,19 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(spark: SparkSession) -> None:
+    """Lets Spark drop the shuffle files and checkpoints that no live DataFrame uses any more.
+
+    Its cleaner waits for the driver's JVM to collect garbage, which small tables may not bring about for hours."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
+def packed(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """The rows of a checkpoint in partitions of about so many: few rows don't need a shuffle file for each partition."""
+    return df.coalesce(max(1, -(-df.count() // rows)))
+
+
 def bound_batches(spark: SparkSession) -> None:
     """Keeps Arrow batches small, so that very long texts don't pile up in one batch."""
     for key, most in (("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS), ("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)):

@@ -10,8 +10,8 @@
 3. In each posting list every class is compared with the list's smallest one. Collisions are counted over all
    coordinates; pairs with ALL_MATCHES or more are confirmed on full shingle sets. Confirmed links give components.
 4. Members of a list that are then in another component than its smallest one, outsiders, are compared with the
-   members of other components inside the list (in blocks, if it is long), each pair in the first list that holds
-   both. First only an outsider's NEAREST members by collisions are confirmed, which finds a group's centre. Then
+   members of other components inside the list, each pair in the first list that holds both. A long list is dealt
+   into blocks; outsiders visit all of them, the others stay in one. First only an outsider's NEAREST members by collisions are confirmed, which finds a group's centre. Then
    all pairs at the match threshold that are still in different components are confirmed in the list itself, to
    which full sets are sent; only links leave it. So each candidate pair is either tested or already in one
    component, and neither a group of copies nor a group that is almost near makes rows for all its pairs.
@@ -33,16 +33,18 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bound_batches, broadcast_if_small, cut, read_table, sorted_groups, text_of
+from foliospark.llm.common import bound_batches, broadcast_if_small, cut, packed, read_table, release, sorted_groups, text_of
 from foliospark.llm.components import components
 
 COORDINATES, MATCHES = 48, 26
 ALL, ALL_MATCHES = 128, 82
 SHORT = 4 * COORDINATES + 2 * (ALL - COORDINATES)
-#: Rows of a posting list that one group compares; longer lists are dealt into blocks, and pairs of blocks are groups.
+#: Rows of a posting list that stay in one group; longer lists are dealt into blocks, which outsiders visit.
 BLOCK = 2000
 NEAREST = 2
-CACHE_WORDS = 500_000
+#: Rows with signatures or sets in a partition.
+ROWS = 10_000
+CACHE_WORDS = 100_000
 #: Ids up to which the documents to compare are picked by a broadcast (8 bytes each); beyond that by a shuffle join.
 BROADCAST_IDS = 250_000
 
@@ -170,7 +172,7 @@ def _outsiders(posts: DataFrame, first: DataFrame, found: DataFrame, reps: DataF
     labelled = posts.join(found.select(F.col("node").alias("id"), "component"), "id", "left").select("k", "v", "id", "mask", F.coalesce("component", "id").alias("label"))
     heads = first.where("size > 2").join(found.select(F.col("node").alias("least"), "component"), "least", "left").select("k", "v", "least", "size", F.coalesce("component", "least").alias("head"))
     members = labelled.join(heads, ["k", "v"]).where("id <> least").select("k", "v", F.ceil(F.col("size") / BLOCK).cast("int").alias("g"), "id", "mask", "label", (F.col("label") != F.col("head")).alias("out"))
-    lists = cut(members.where("out").select("k", "v").distinct())
+    lists = packed(cut(members.where("out").select("k", "v").distinct()))
     return members.join(lists, ["k", "v"], "left_semi").join(reps.select("id", "n", "short"), "id")
 
 
@@ -180,22 +182,24 @@ def _across(rows: DataFrame, percent: int, want: str) -> DataFrame:
     want: "nearest", (a, b) of each outsider's NEAREST; "members", (k, v, id) of the rows that are in pairs; "links",
     (a, b) of pairs confirmed on the rows' shingles, but for those that join what links of the list have joined.
     """
-    own, other = F.pmod(F.xxhash64("id"), F.col("g")).cast("int"), F.explode(F.sequence(F.lit(0), F.col("g") - 1))
-    dealt = rows.withColumn("own", own).select("*", other.alias("o")).withColumns({"x": F.least("own", "o"), "y": F.greatest("own", "o")})
+    own = F.pmod(F.xxhash64("id"), F.col("g")).cast("int")
+    visits = F.when(F.col("out"), F.sequence(F.lit(0), F.col("g") - 1)).otherwise(F.array("own"))
+    dealt = rows.withColumn("own", own).select("*", F.explode(visits).alias("x"))
     full = ["shingles"] if want == "links" else []
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    keys = ["k", "v", "x", "y"]
+    keys = ["k", "v", "x"]
     spread = dealt.select(*keys, "own", "id", "mask", "label", "out", "n", "short", *full).repartition(parts, *keys).sortWithinPartitions(*keys)
     bit = np.int64(1) << np.arange(COORDINATES, dtype=np.int64)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table, bounds in sorted_groups(batches, len(keys)):
-            c = {f: table.column(f).to_numpy(zero_copy_only=False) for f in ("k", "x", "y", "own", "id", "mask", "label", "out", "n")}
+            c = {f: table.column(f).to_numpy(zero_copy_only=False) for f in ("k", "x", "own", "id", "mask", "label", "out", "n")}
             posted, counted = _unpack(table.column("short").to_pylist())
             sets = table.column("shingles") if full else None
             pairs: set[tuple[int, ...]] = set()
             for s, e in zip(bounds, bounds[1:], strict=False):
-                k, ids, labels, out, n, mask, own = c["k"][s], *(c[f][s:e] for f in ("id", "label", "out", "n", "mask", "own"))
+                k, ids, labels, out, n, mask = c["k"][s], *(c[f][s:e] for f in ("id", "label", "out", "n", "mask"))
+                at_home = c["own"][s:e] == c["x"][s]
                 root: dict[int, int] = {}
 
                 def find(x: int, root=root) -> int:
@@ -211,11 +215,9 @@ def _across(rows: DataFrame, percent: int, want: str) -> DataFrame:
                     return read[j]
 
                 for i in np.flatnonzero(out):
-                    some = (labels != labels[i]) & _sizes_fit(n, n[i], percent)
+                    some = at_home & (labels != labels[i]) & _sizes_fit(n, n[i], percent)
                     if want != "nearest":  # else both look for their nearest
                         some &= ~out | (ids > ids[i])
-                    if c["x"][s] != c["y"][s]:
-                        some &= own != own[i]
                     at = np.flatnonzero(some)
                     if not len(at):
                         continue
@@ -271,34 +273,44 @@ def _confirm(docs: DataFrame, pairs: DataFrame, words: int, percent: int) -> Dat
         return pd.Series([_similar(np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64), percent) for p, q in zip(x, y, strict=True)], dtype=bool)
 
     ids = pairs.select(F.col("a").alias("id")).unionByName(pairs.select(F.col("b").alias("id")))
-    sets = cut(_sets(docs, ids, words))
+    sets = packed(cut(_sets(docs, ids, words)), ROWS)
     found = pairs.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("x")), "a").join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("y")), "b")
     return cut(found.where(similar("x", "y")).select("a", "b").distinct())
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:
     """(id, n_shingles, component_id, kept), one row for each row of docs; id has the name of id_col."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).alias("text"))
     signed = cut(_signed(rows, words))
     classes = cut(signed.where("n > 0 AND id IS NOT NULL").groupBy("h1", "h2").agg(F.min("id").alias("rep")))
-    reps = cut(signed.join(classes, ["h1", "h2"]).where("id = rep").select("id", "n", "sig", "short").dropDuplicates(["id"]))
-    posts = cut(_prefix(reps))
-    first = posts.groupBy("k", "v").agg(F.min("id").alias("least"), F.count("*").alias("size")).where("size > 1")
+    whole = cut(signed.join(classes, ["h1", "h2"]).where("id = rep").select("id", "n", "sig", "short").dropDuplicates(["id"]))
+    keys = cut(signed.select("id", "n", "h1", "h2"))
+    del signed
+    posts = cut(_prefix(whole))
+    reps = cut(whole.join(posts.select("id").distinct(), "id", "left_semi").select("id", "n", "short"))  # those that can have a partner
+    del whole
+    release(spark)
+    first = packed(cut(posts.groupBy("k", "v").agg(F.min("id").alias("least"), F.count("*").alias("size")).where("size > 1")))
     stars = posts.join(first, ["k", "v"]).where("id <> least").select(F.col("least").alias("a"), F.col("id").alias("b")).distinct()
-    links = _confirm(rows, cut(_collide(stars, reps, percent)), words, percent)
-    found = cut(components(links))
-    near = _confirm(rows, cut(_across(_outsiders(posts, first, found, reps), percent, "nearest")), words, percent)
+    links = packed(_confirm(rows, packed(cut(_collide(stars, reps, percent))), words, percent))
+    found = packed(cut(components(links)))
+    release(spark)
+    near = packed(_confirm(rows, packed(cut(_across(_outsiders(posts, first, found, reps), percent, "nearest"))), words, percent))
     if not near.isEmpty():
-        links = cut(links.unionByName(near))
-        found = cut(components(links))
-    left = cut(_outsiders(posts, first, found, reps))
-    needed = cut(_across(left, percent, "members"))
+        links = packed(cut(links.unionByName(near)))
+        found = packed(cut(components(links)))
+    release(spark)
+    left = packed(cut(_outsiders(posts, first, found, reps)), ROWS)
+    needed = packed(cut(_across(left, percent, "members")))
     some = left.join(needed.withColumn("k", F.col("k").cast("int")), ["k", "v", "id"], "left_semi")
-    last = cut(_across(some.join(_sets(rows, needed.select("id"), words), "id"), percent, "links"))
+    last = packed(cut(_across(some.join(_sets(rows, needed.select("id"), words), "id"), percent, "links")))
+    del left, some
     if not last.isEmpty():
-        found = cut(components(links.unionByName(last)))
+        found = packed(cut(components(links.unionByName(last))))
+    release(spark)
     names = classes.join(found.select(F.col("node").alias("rep"), "component"), "rep", "left").select("h1", "h2", F.coalesce("component", "rep").alias("c"))
-    out = signed.select("id", "n", "h1", "h2").join(names, ["h1", "h2"], "left")
+    out = keys.join(names, ["h1", "h2"], "left")
     component = F.when(F.col("id").isNotNull(), F.when(F.col("n") > 0, F.col("c")).otherwise(F.col("id")))
     return out.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), component.alias("component_id"), F.col("id").eqNullSafe(component).alias("kept"))
 
