@@ -56,38 +56,55 @@ def split_url(url: str | None) -> tuple[str, str]:
     return host.translate(_TO_LOWER), slash + path
 
 
-class UrlTrie:
-    """node: {label: node}; RULE_SITE in a host node: its path trie; ENDS in a path node: last segments, as prefixes."""
+class _HostNode:
+    """A host label: the labels before it, and the paths of its rules."""
+
+    __slots__ = ("labels", "site")
+
+    def __init__(self):
+        self.labels, self.site = {}, None
+
+
+class _PathNode:
+    """A place after a slash: the whole segments that go on, and last segments of rules, which are prefixes of a URL's."""
 
-    SITE, ENDS = "\0site", "\0ends"
+    __slots__ = ("segments", "ends", "longest")
+
+    def __init__(self):
+        self.segments, self.ends, self.longest = {}, {}, 0
+
+
+class UrlTrie:
+    """Host labels from the last one down, and at each host with rules their path segments."""
 
     def __init__(self, rules: Iterable[Rule]):
-        self.root: dict = {}
+        self.root = _HostNode()
         for verdict, host, path in rules:
             if verdict not in ("allow", "block") or not host:
                 raise ValueError(f"not a rule: {(verdict, host, path)}")
             node = self.root
             for label in reversed(host.translate(_TO_LOWER).split(".")):
-                node = node.setdefault(label, {})
-            node = node.setdefault(self.SITE, {})
+                node = node.labels.setdefault(label, _HostNode())
+            node.site = node.site or _PathNode()
+            place = node.site
             *whole, last = path.split("/")
             for segment in whole:
-                node = node.setdefault(segment, {})
-            ends = node.setdefault(self.ENDS, {})
-            if ends.get(last, ("",))[0] != "block":
-                ends[last] = (verdict, host + path)
+                place = place.segments.setdefault(segment, _PathNode())
+            if place.ends.get(last, ("",))[0] != "block":
+                place.ends[last] = (verdict, host + path)
+                place.longest = max(place.longest, len(last))
 
-    def _path(self, site: dict, segments: list[str]) -> tuple[str, str] | None:
+    @staticmethod
+    def _path(site: _PathNode, segments: list[str]) -> tuple[str, str] | None:
         """Deepest rule whose path is a prefix of the path with these segments."""
         best, node = None, site
         for segment in segments:
-            ends = node.get(self.ENDS)
-            if ends:
-                for n in range(len(segment), -1, -1):
-                    if (hit := ends.get(segment[:n])) is not None:
+            if node.ends:
+                for n in range(min(len(segment), node.longest), -1, -1):
+                    if (hit := node.ends.get(segment[:n])) is not None:
                         best = hit
                         break
-            node = node.get(segment)
+            node = node.segments.get(segment)
             if node is None:
                 break
         return best
@@ -98,11 +115,11 @@ class UrlTrie:
             return None
         best, node, segments = None, self.root, path.split("/")
         for label in reversed(host.split(".")):
-            node = node.get(label)
+            node = node.labels.get(label)
             if node is None:
                 break
-            if (site := node.get(self.SITE)) is not None:
-                best = self._path(site, segments) or best
+            if node.site is not None:
+                best = self._path(node.site, segments) or best
         return best
 
 
