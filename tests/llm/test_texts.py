@@ -1,5 +1,6 @@
 import math
 import random
+import time
 import zlib
 from fractions import Fraction
 
@@ -109,6 +110,17 @@ def test_url_rules_equal_a_scan_of_all_rules(spark, form):
     assert url_filter.judge_urls(pages.limit(0)).count() == 0
 
 
+def test_odd_urls_and_long_segments():
+    trie = url_filter.UrlTrie(url_filter.RULES)
+    assert trie.match("x.net", "/es/\0ends//a/b") == ("block", "net/es/")
+    assert trie.match("\0site.net", "/\0ends/") is None
+    began = time.time()
+    for _ in range(20):
+        assert trie.match("x.example.com", "/en/" + "a" * 1_000_000) == ("block", "example.com/en/")
+    assert time.time() - began < 5
+    assert url_filter.UrlTrie([("block", "a.b", "/x"), ("allow", "a.b", "/xyz")]).match("c.a.b", "/xyz" + "z" * 10**6) == ("allow", "a.b/xyz")
+
+
 # --- mixing
 
 
@@ -147,7 +159,33 @@ def test_mix_comes_near_its_targets_and_repeats_itself(spark, documents):
 def test_mix_of_empty_tables_and_repeated_rows(spark, documents):
     docs = documents(["a b c"] * 5 + [""] * 3, [1] * 5 + [2] * 3)
     assert mixing.mix_sources(docs.limit(0)).count() == 0
-    assert {(r["doc_id"], r["taken"]) for r in mixing.mix_sources(docs).collect()} in ({(1, 3), (2, 0)}, {(1, 6), (2, 0)})
+    rows = mixing.mix_sources(docs).collect()
+    taken = sorted((r["doc_id"], r["taken"]) for r in rows)
+    assert taken == [(1, 3)] * 2 + [(1, 6)] * 3 + [(2, 0)] * 3  # 24 words of a target of 22.5
+    many = documents(["w " * 7] * 400 + ["a b"], [5] * 400 + [6], sources=["x"] * 400 + ["y"])
+    rows = mixing.mix_sources(many).collect()
+    assert len(rows) == 401
+    for s in "xy":
+        mine = [r for r in rows if r["source"] == s]
+        assert abs(sum(r["taken"] for r in mine) - mine[0]["target"]) <= 7
+        assert all(r["taken"] in (0, r["size"], 2 * r["size"]) for r in mine)
+
+
+def test_mix_query_on_the_whole_table(spark):
+    docs = pd.read_parquet(f"{SF}/documents.parquet")
+    sizes = docs["text"].map(lambda t: len((t or "").encode().split()))
+    totals = sizes.groupby(docs["source"]).sum().to_dict()
+    targets = mixing.water_fill(totals, mixing.cyclic_weights(totals), 1.5 * sum(totals.values()), 2.0)
+    rows = mixing.op10_mixing(spark, SF).collect()
+    assert {r["doc_id"]: r["size"] for r in rows} == dict(zip(docs["doc_id"], sizes, strict=True))
+    source, taken = dict(zip(docs["doc_id"], docs["source"], strict=True)), dict.fromkeys(totals, 0)
+    for r in rows:
+        s = source[r["doc_id"]]
+        assert r["source_size"] == totals[s] and r["target"] == pytest.approx(targets[s])
+        assert r["taken"] in (0, r["size"], 2 * r["size"])
+        taken[s] += r["taken"]
+    assert all(abs(taken[s] - targets[s]) <= sizes.max() for s in totals)
+    assert sorted(map(tuple, rows)) == sorted(map(tuple, mixing.op10_mixing(spark, SF).collect()))
 
 
 # --- language ID
