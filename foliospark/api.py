@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import time
+import uuid
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from foliospark.models import Embedder, HashingEmbedder
@@ -17,8 +19,13 @@ def _check(ok: bool, message: str) -> None:
         raise ValueError(message)
 
 
+LEDGER = "table string, doc_id string, batch string, seq long"
+
+
 class Workspace:
-    """Parquet tables under a folder. An ingest appends a batch; of a document, the rows of its last batch count."""
+    """Parquet tables under a folder. A write appends a batch with an id of its own to a table, and is then recorded in
+    the ledger for each document; of a document, the rows of its last recorded batch in a table count. A write that fails
+    isn't recorded, so its rows never count."""
 
     def __init__(self, spark: SparkSession, folder: str, embedder: Embedder | None = None):
         self.spark, self.folder, self.embedder = spark, folder.rstrip("/"), embedder or HashingEmbedder()
@@ -27,46 +34,68 @@ class Workspace:
         path = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.folder}/{name}")
         return path.getFileSystem(self.spark._jsc.hadoopConfiguration()).exists(path)
 
+    def _ledger(self) -> DataFrame:
+        return self.spark.read.schema(LEDGER).parquet(f"{self.folder}/ledger") if self._exists("ledger") else self.spark.createDataFrame([], LEDGER)
+
     def read(self, name: str, schema: str | None = None) -> DataFrame:
-        """The table's current rows; an empty table with the schema if nothing was ingested."""
+        """The table's current rows; an empty table with the schema if nothing was written. Of vectors, the last written
+        one of each chunk id."""
         if not self._exists(name):
-            return self.spark.createDataFrame([], schema or "doc_id string, batch long")
-        rows = self.spark.read.parquet(f"{self.folder}/{name}")
-        last = self.spark.read.parquet(f"{self.folder}/ingests").groupBy("doc_id").agg(F.max("batch").alias("batch"))
-        return rows.join(last, ["doc_id", "batch"], "left_semi")
-
-    def _append(self, rows: DataFrame, name: str, batch: int) -> None:
-        rows.withColumn("batch", F.lit(batch).cast("long")).write.mode("append").parquet(f"{self.folder}/{name}")
+            return self.spark.createDataFrame([], schema or "doc_id string, batch string, seq long")
+        last = self._ledger().where(F.col("table") == name).groupBy("doc_id").agg(F.max(F.struct("seq", "batch")).alias("x"))
+        rows = self.spark.read.parquet(f"{self.folder}/{name}").join(last.select("doc_id", "x.batch", "x.seq"), ["doc_id", "batch"])
+        if name == "vectors":
+            rows = rows.withColumn("_n", F.row_number().over(Window.partitionBy("chunk_id").orderBy(F.desc("seq"), F.desc("doc_id")))).where("_n = 1").drop("_n")
+        return rows
+
+    def _append(self, rows: DataFrame, name: str, batch: str) -> None:
+        rows.withColumn("batch", F.lit(batch)).write.mode("append").parquet(f"{self.folder}/{name}")
+
+    def _record(self, docs: DataFrame, tables: Sequence[str], batch: str) -> None:
+        """Makes the batch the last one of the documents (doc_id) in the tables."""
+        rows = docs.select(F.explode(F.array(*[F.lit(t) for t in tables])).alias("table"), F.col("doc_id").cast("string").alias("doc_id"), F.lit(batch).alias("batch"), F.lit(time.time_ns()).alias("seq"))
+        rows.write.mode("append").parquet(f"{self.folder}/ledger")
+
+    def new_documents(self, docs: DataFrame) -> DataFrame:
+        """The rows of documents that no ingest has recorded."""
+        return docs.join(self._ledger().where(F.col("table") == "chunks").select("doc_id"), "doc_id", "left_anti")
+
+    def submit(self, docs: DataFrame, *, force: bool = False) -> DataFrame:
+        """(doc_id, status) before an ingest of the documents (doc_id): queued, or already_exists without force."""
+        asked = docs.select("doc_id").distinct()
+        if force:
+            return asked.withColumn("status", F.lit("queued"))
+        new = self.new_documents(asked).withColumn("status", F.lit("queued"))
+        return asked.join(new, "doc_id", "left").select("doc_id", F.coalesce("status", F.lit("already_exists")).alias("status"))
 
     def ingest(self, blocks: DataFrame, *, force: bool = False) -> DataFrame:
         """(doc_id, status) of documents given as blocks: completed, or already_exists without force.
 
-        Documents are routed, chunked and embedded; the ingest is recorded last, so a failed one leaves no trace.
+        Documents are routed, chunked and embedded; the ingest is recorded last, so a failed one leaves no rows that count.
         """
-        known = self.read("ingests").select("doc_id").distinct()
-        new = blocks if force else blocks.join(known, "doc_id", "left_anti")
-        batch = (self.read("ingests").agg(F.max("batch")).head()[0] or 0) + 1
+        new = blocks if force else self.new_documents(blocks)
+        batch = uuid.uuid4().hex
         chunks = chunking.chunk(new)
         self._append(routing.route_documents(new), "routes", batch)
         self._append(chunks, "chunks", batch)
         self._append(retrieval.index_chunks(chunks, self.embedder).withColumn("doc_id", F.col("source_path")), "vectors", batch)
-        self._append(new.select("doc_id").distinct(), "ingests", batch)
-        done = self.spark.read.parquet(f"{self.folder}/ingests").where(F.col("batch") == batch).select("doc_id", F.lit("completed").alias("status"))
+        self._record(new.select("doc_id").distinct(), ["routes", "chunks", "vectors"], batch)
+        done = self._ledger().where((F.col("batch") == batch) & (F.col("table") == "chunks")).select("doc_id", F.lit("completed").alias("status"))
         return blocks.select("doc_id").distinct().join(done, "doc_id", "left").select("doc_id", F.coalesce("status", F.lit("already_exists")).alias("status"))
 
     def add_extractions(self, partials: DataFrame, *, strategy: str = "union") -> DataFrame:
         """Merges per-page results, keeps the valid ones, and returns the invalid ones with their reason."""
         good, bad = extraction.validate(extraction.merge_extractions(partials, strategy=strategy))
-        batch = (self.read("ingests").agg(F.max("batch")).head()[0] or 0) + 1
+        batch = uuid.uuid4().hex
         self._append(good, "extractions", batch)
-        self._append(good.select("doc_id"), "ingests", batch)
+        self._record(good.select("doc_id"), ["extractions"], batch)
         return bad
 
     def graph(self) -> tuple[DataFrame, DataFrame]:
         """Nodes and edges of all extractions."""
         if not self._exists("extractions"):
             return self.spark.createDataFrame([], NODES), self.spark.createDataFrame([], EDGES)
-        nodes, edges = graph.paper_writes(self.read("extractions").withColumn("seq", F.struct("batch", "doc_id")))
+        nodes, edges = graph.paper_writes(self.read("extractions").withColumn("seq", F.struct("seq", "doc_id")))
         made = graph.upsert_nodes(nodes)
         return made, graph.upsert_edges(edges, made)
 

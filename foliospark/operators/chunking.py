@@ -31,13 +31,10 @@ def classify_section(header: Column | str) -> Column:
     x = F.col(header) if isinstance(header, str) else header
     x = F.regexp_replace(x, r"(?U)[A-Z]\d*\.\d*\s+", "")
     x = F.lower(strip(F.regexp_replace(x, r"(?U)^[\d\.\s]+", "")))
-    found = F.lit(None).cast("string")
-    for kind, terms in reversed(SECTION_TERMS.items()):
-        hit = F.lit(False)
-        for term in terms:
-            hit = hit | x.contains(term)
-        found = F.when(hit, kind).otherwise(found)
-    return F.coalesce(found, F.lit("unknown"))
+    terms = F.array(*[F.struct(F.lit(kind).alias("kind"), F.lit(term).alias("term")) for kind, found in SECTION_TERMS.items() for term in found])
+    # a lambda's variable, so that the header is cleaned once and not for each term
+    first = F.transform(F.array(x), lambda h: F.get(F.filter(terms, lambda t: h.contains(t["term"])), F.lit(0))["kind"])
+    return F.coalesce(F.get(first, F.lit(0)), F.lit("unknown"))
 
 
 def sections(blocks: DataFrame) -> DataFrame:

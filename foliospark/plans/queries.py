@@ -194,7 +194,8 @@ def value_in_source(spark, sf_dir):
     docs = t.read(spark, sf_dir, "documents")
     n = F.col("n_chars")
     source = F.when(n % 3 == 0, F.concat(F.lit("it has "), n.cast("string"), F.lit(" characters"))).when(n % 3 == 1, F.concat(F.lit("about "), (n * 2).cast("string"))).otherwise(F.col("text"))
-    value = F.when(n % 2 == 0, (n / F.lit(100.0)).cast("string")).otherwise(F.upper(F.substring("text", 3, 12)))
+    part = F.translate(F.upper(F.translate(F.substring("text", 3, 12), "ß", "\ue000")), "\ue000", "ß")  # letter for letter, as the SQL has it
+    value = F.when(n % 2 == 0, (n / F.lit(100.0)).cast("string")).otherwise(part)
     return docs.select("doc_id", evaluation.value_in_source(value, source).alias("supported"))
 
 
