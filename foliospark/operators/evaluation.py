@@ -145,6 +145,30 @@ def hallucination_report(extractions: DataFrame, checks: DataFrame) -> DataFrame
     return out.withColumn("hallucination_rate", rate(F.col("n_flags"), F.col("checked_claims")))
 
 
+#: What a judge is asked about a field; other fields get OTHER_CRITERION.
+FIELD_CRITERIA = {
+    "title": "5: the same title as in the paper. 3: other punctuation only. 1: another title.",
+    "authors": "5: every author, names spelled as in the paper, with affiliations. One point less for each that is missing or misspelled.",
+    "institutions": "5: every institution once, with its right name.",
+    "problem_statement": "5: the paper's problem, whole and right. 3: in part. 1: wrong, or the main aspects are missing.",
+    "datasets": "5: every dataset of the paper with its right name and size.",
+    "methods": "How complete and how right the description of the paper's methods is.",
+    "results": "5: all main numbers with their metrics and conditions. Less for each error.",
+    "baselines": "How complete the compared methods are, and how right their numbers.",
+    "limitations": "5: every limitation that the authors state.",
+}
+OTHER_CRITERION = "How complete and how right the value is."
+SOURCE_EXCERPT = 4000
+
+
+def judge_prompt(field: Column, predicted: Column, reference: Column, source: Column, *, excerpt: int = SOURCE_EXCERPT) -> Column:
+    """A judge's prompt for one field: its criterion, the value (JSON text), and the reference or else an excerpt of the source."""
+    criteria = F.create_map(*[F.lit(x) for kv in FIELD_CRITERIA.items() for x in kv])
+    against = F.when(reference.isNotNull(), F.concat(F.lit("Reference value: "), reference)).otherwise(F.concat(F.lit("Source text: "), F.substring(F.coalesce(source, F.lit("")), 1, excerpt)))
+    lines = (F.concat(F.lit("Field: "), field), F.concat(F.lit("Criterion: "), F.coalesce(criteria[field], F.lit(OTHER_CRITERION))), F.concat(F.lit("Extracted value: "), F.coalesce(predicted, F.lit("null"))), against)
+    return F.concat_ws("\n", *lines, F.lit("Explain briefly, then end with a line 'Score: n', n from 1 to 5."))
+
+
 def field_scores(samples: DataFrame) -> DataFrame:
     """(doc_id, field_name, score in 0..1) from judge samples (doc_id, field_name, completion): means over 5."""
     from foliospark.models import g_eval_score
@@ -188,7 +212,15 @@ def answer_correctness(answers: DataFrame) -> DataFrame:
     return answers.select("sample_id", F.coalesce(F.try_divide(2 * p * r, p + r), F.lit(0.0)).alias("answer_correctness"))
 
 
-METRICS = ("faithfulness", "answer_relevancy", "context_precision", "context_recall", "answer_correctness")
+def answer_similarity(answers: DataFrame, embedder) -> DataFrame:
+    """(sample_id, answer_similarity): cosine of the embedded answer and reference, 0 at least; null if one has no vector."""
+    from foliospark.models import embed_column
+
+    both = embed_column(embed_column(answers.select("sample_id", "answer", "reference"), embedder, text_col="answer", out="_a"), embedder, text_col="reference", out="_r")
+    return both.select("sample_id", F.greatest(F.lit(0.0), cosine("_a", "_r")).alias("answer_similarity"))
+
+
+METRICS = ("faithfulness", "answer_relevancy", "context_precision", "context_recall", "answer_correctness", "answer_similarity")
 
 
 def summary(samples: DataFrame) -> DataFrame:

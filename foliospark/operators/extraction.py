@@ -118,6 +118,30 @@ def parse_answers(log: DataFrame) -> DataFrame:
     return log.withColumn("parsed", F.from_json(json, schema)).withColumn("parse_error", F.when(raw.isNotNull() & json.isNull(), F.lit("not JSON")))
 
 
+def extract_documents(pages: DataFrame, extractor: Callable[[pd.DataFrame], pd.DataFrame], *, strategy: str = "union", retries: int = 3) -> tuple[DataFrame, DataFrame]:
+    """(merged, failed) of documents given as pages (doc_id, page_idx, page_text, maybe image_uri).
+
+    Each page is asked for the fields of its place, its answer is parsed, and a document's pages merge. failed has
+    (doc_id, n_pages, error) of documents without any usable page, blank ones included.
+    """
+    asked = pages.withColumn("prompt", build_prompt(target_fields("page_idx")))
+    log = parse_answers(extract_pages(asked, extractor, retries=retries))
+    good = F.col("success") & F.col("parsed").isNotNull()
+    partials = log.where(good).select(F.col("doc_id").cast("string").alias("doc_id"), F.col("page_idx").alias("partial_idx"), *[_or_empty(f, F.col(f"parsed.{f.name}")).alias(f.name) for f in PARTIAL.fields if f.name not in ("doc_id", "partial_idx")])
+    errors = log.groupBy("doc_id").agg(F.bool_or(good).alias("ok"), F.min(F.coalesce("error", "parse_error")).alias("error"))
+    counts = pages.groupBy("doc_id").agg(F.count("*").alias("n_pages"))
+    failed = counts.join(errors, "doc_id", "left").where(~F.coalesce("ok", F.lit(False))).select("doc_id", "n_pages", F.coalesce("error", F.lit("no page with content")).alias("error"))
+    return merge_extractions(partials, strategy=strategy), failed
+
+
+def _or_empty(field, value: Column) -> Column:
+    """The value; what an answer leaves out is an empty list, or a confidence of 0."""
+    kind = field.dataType.typeName()
+    if kind == "array":
+        return F.coalesce(value, F.array().cast(field.dataType))
+    return F.coalesce(value, F.lit(0.0)) if kind == "double" else value
+
+
 def drop_empty_partials(partials: DataFrame) -> DataFrame:
     """Partial results with content; all of a document's if none has."""
     filled = F.lit(False)
@@ -151,15 +175,11 @@ def _first_by_key(field: str, ddl: str) -> Column:
     """An aggregate: a document's items in order, the first of each key. Items lists are one document's."""
     lists = F.array_sort(F.collect_list(F.struct(F.col("partial_idx").alias("i"), F.col(field).alias("items"))))
     flat = F.flatten(F.transform(lists, lambda x: F.coalesce(x["items"], F.array().cast(f"array<{ddl}>"))))
-    pairs = F.transform(flat, lambda x: F.struct(item_key(field, x, ddl).alias("k"), x.alias("item")))
-    start = F.struct(F.array().cast("array<string>").alias("seen"), F.array().cast(f"array<{ddl}>").alias("out"))
-
-    def step(acc, x):
-        key = F.coalesce(x["k"], F.lit("\0null"))
-        new = ~F.array_contains(acc["seen"], key)
-        return F.struct(F.when(new, F.concat(acc["seen"], F.array(key))).otherwise(acc["seen"]).alias("seen"), F.when(new, F.concat(acc["out"], F.array(x["item"]))).otherwise(acc["out"]).alias("out"))
-
-    return F.aggregate(pairs, start, step, lambda acc: acc["out"])
+    pairs = F.transform(flat, lambda x, j: F.struct(F.coalesce(item_key(field, x, ddl), F.lit("\0null")).alias("k"), j.alias("j"), x.alias("item")))
+    # sorted by key, the first of each key stands after another key; a lambda's variable keeps the array from being sorted again
+    firsts = F.get(F.transform(F.array(F.array_sort(pairs)), lambda v: F.filter(v, lambda x, j: (j == 0) | (F.get(v, j - 1)["k"] != x["k"]))), F.lit(0))
+    ordered = F.array_sort(F.transform(firsts, lambda x: F.struct(x["j"].alias("j"), x["item"].alias("item"))))
+    return F.transform(ordered, lambda x: x["item"])
 
 
 def merge_extractions(partials: DataFrame, *, strategy: str = "union") -> DataFrame:

@@ -103,7 +103,8 @@ def find_related_papers(nodes: DataFrame, edges: DataFrame, key: str, *, max_hop
     """(key, title, distance): papers within max_hops edges, any direction and label between, the paper itself not.
 
     A path uses no edge twice. A paper can stand at several distances; shortest keeps the least. rel_types: None for
-    any. paths: adds the edge ids of one path. max_nodes_per_hop: keeps that many nodes of each hop, by key.
+    any. paths: adds the edge ids of one path. max_nodes_per_hop: keeps that many nodes of each hop, by key. With
+    shortest a node goes on from its least distance only, with one path, so hubs don't multiply paths.
     """
     if not 1 <= max_hops <= 3:
         raise ValueError("max_hops is 1 to 3")
@@ -115,8 +116,15 @@ def find_related_papers(nodes: DataFrame, edges: DataFrame, key: str, *, max_hop
         if hop > 1:
             nxt = front.join(steps, ["l", "k"]).where(~F.array_contains("path", F.col("edge_id")))
             front = nxt.select(F.col("l2").alias("l"), F.col("k2").alias("k"), F.concat("path", F.array("edge_id")).alias("path"))
+        if shortest:  # the nodes that no hop before has met, with their first path
+            front = front.groupBy("l", "k").agg(F.min("path").alias("path"))
+            front = front.where((F.col("l") != "Paper") | (F.col("k") != F.lit(key)))
+            front = front.join(met, ["l", "k"], "left_anti") if hop > 1 else front
         if max_nodes_per_hop is not None:
-            front = front.withColumn("_n", F.dense_rank().over(Window.orderBy("l", "k"))).where(F.col("_n") <= max_nodes_per_hop).drop("_n")
+            first = front.select("l", "k").distinct().orderBy("l", "k").limit(max_nodes_per_hop)
+            front = front.join(F.broadcast(first), ["l", "k"], "left_semi")
+        if shortest:
+            met = front.select("l", "k") if hop == 1 else met.unionByName(front.select("l", "k"))
         if hop == max_hops and not paths:
             front = front.select("l", "k").distinct().withColumn("path", F.lit(None).cast("array<string>"))
         hops.append(front.where("l = 'Paper'").where(F.col("k") != F.lit(key)).groupBy("k").agg(F.min("path").alias("path")).withColumn("distance", F.lit(hop)))

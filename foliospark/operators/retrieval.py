@@ -39,7 +39,12 @@ def index_chunks(chunks: DataFrame, embedder: Embedder) -> DataFrame:
 
 
 def within_budget(rows: DataFrame, budget: int, *, order: Sequence, group: Sequence[str] = (), tokens: str = "tokens") -> DataFrame:
-    """The longest prefix in the order whose tokens sum to the budget at most, with rank and running total."""
+    """The longest prefix in the order whose tokens sum to the budget at most, with rank and running total.
+
+    A row has one token at least, so without groups only the first budget rows are ranked, and no more are gathered.
+    """
+    if not group:
+        rows = rows.orderBy(*order).limit(budget)
     w = Window.partitionBy(*group).orderBy(*order) if group else Window.orderBy(*order)
     run = rows.withColumn("rank", F.row_number().over(w)).withColumn("total", F.sum(tokens).over(w.rowsBetween(Window.unboundedPreceding, 0)))
     return run.where(F.col("total") <= budget)

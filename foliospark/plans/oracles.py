@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from foliospark.operators.chunking import SECTION_TERMS
+from foliospark.operators.evaluation import SEVERITY
 from foliospark.operators.extraction import EARLY_PAGE, FIELD_PROMPTS, FIRST_PAGE, LATER_PAGE, PROMPT_HEAD, PROMPT_RULES
 from foliospark.plans.tables import HEADINGS
 
@@ -264,9 +265,10 @@ SELECT conv_id, count(*) AS n_chunks, max(total)::BIGINT AS tokens, (sum(length(
     "hallucination_rate": _VALUE + "SELECT source, round(count(*) FILTER (NOT supported)::DOUBLE / count(*), 9) AS rate FROM r GROUP BY source",
     "consistency_findings": _MERGED_RESULTS + _NAMES + "SELECT doc_id, inconsistency_type, count(*) AS n FROM findings GROUP BY ALL",
     "consistency_scores": _MERGED_RESULTS
-    + """
-, a AS (SELECT doc_id FROM d1 UNION ALL SELECT doc_id FROM d2), n AS (SELECT doc_id, count(*) AS n FROM a GROUP BY doc_id)
-SELECT DISTINCT p.doc_id, coalesce(n.n, 0) AS n_inconsistencies, round(greatest(0, 1 - least(coalesce(n.n, 0) * 0.2::DOUBLE, 1)), 9) AS score FROM p LEFT JOIN n ON n.doc_id = p.doc_id
+    + _NAMES
+    + f"""
+, n AS (SELECT doc_id, count(*) AS n, sum(CASE inconsistency_type {" ".join(f"WHEN '{k}' THEN {v}::DOUBLE" for k, v in SEVERITY.items())} END) AS s FROM findings GROUP BY doc_id)
+SELECT DISTINCT p.doc_id, coalesce(n.n, 0) AS n_inconsistencies, round(1 - least(coalesce(n.s, 0), 1), 9) AS score FROM p LEFT JOIN n ON n.doc_id = p.doc_id
 """,
     "g_eval": """
 WITH s AS (SELECT conv_id AS doc_id, turn % 2 = 0 AS r, avg(CASE WHEN length(text) % 3 = 2 THEN 1.0::DOUBLE ELSE length(text) % 5 + 1 END) / 5 AS x FROM conversations GROUP BY ALL)
@@ -274,3 +276,7 @@ SELECT doc_id, round(sum(CASE WHEN r THEN 2 ELSE 1 END * x) / sum(CASE WHEN r TH
 """,
     "ingest_new": "SELECT doc_id, source, n_chars FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)",
 }
+
+from foliospark.plans import paper_queries  # noqa: E402  its SQL is built from this module's
+
+ORACLES |= paper_queries._sql()

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from foliospark.functions.text import clean_arxiv_id, estimate_tokens, point_id, short_hash, strip_html, word_count
 from foliospark.operators import chunking, evaluation, extraction, graph, retrieval, routing
 from foliospark.operators import vectors as store
+from foliospark.plans import paper_queries
 from foliospark.plans import tables as t
 from foliospark.schemas import LISTS
 from foliospark.sources import blocks as B
@@ -121,12 +122,10 @@ def _merge_scalars(strategy):
 
 
 def merge_lists(spark, sf_dir):
-    m, out = _merged(spark, sf_dir), None
-    for field, ddl in LISTS.items():
-        rows = m.select("doc_id", F.lit(field).alias("field"), F.posexplode(field).alias("pos", "x"))
-        part = rows.select("doc_id", "field", "pos", extraction.item_key(field, F.col("x"), ddl).alias("item"))
-        out = part if out is None else out.unionByName(part)
-    return out
+    def keys(field, ddl):
+        return F.transform(field, lambda x, i: F.struct(F.lit(field).alias("field"), i.cast("int").alias("pos"), extraction.item_key(field, x, ddl).alias("item")))
+
+    return _merged(spark, sf_dir).select("doc_id", F.explode(F.concat(*[keys(f, d) for f, d in LISTS.items()])).alias("x")).select("doc_id", "x.*")
 
 
 def validate(spark, sf_dir):
@@ -210,9 +209,7 @@ def consistency_findings(spark, sf_dir):
 
 
 def consistency_scores(spark, sf_dir):
-    merged = _merged(spark, sf_dir)
-    found = evaluation.check_result_datasets(merged).unionByName(evaluation.check_baselines(merged))
-    return evaluation.consistency_report(merged, found).select("doc_id", "n_inconsistencies", F.round("score", 9).alias("score"))
+    return evaluation.consistency_report(_merged(spark, sf_dir)).select("doc_id", "n_inconsistencies", F.round("score", 9).alias("score"))
 
 
 def g_eval(spark, sf_dir):
@@ -278,3 +275,4 @@ QUERIES = {
     "g_eval": g_eval,
     "ingest_new": ingest_new,
 }
+QUERIES |= paper_queries.QUERIES

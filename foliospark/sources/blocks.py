@@ -78,13 +78,8 @@ def parse_pdfs(files: DataFrame, parser) -> DataFrame:
 
 
 def text_to_blocks(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", lines_per_page: int = 8, header_words: int = 6) -> DataFrame:
-    """Blocks of plain texts: lines are blocks; a line of up to header_words words is a section header.
-
-    An element of every seventh line stands for a figure and of every eleventh for a table, so that texts without
-    layout exercise all paths.
-    """
+    """Blocks of plain texts: lines are blocks, and a line of up to header_words words is a section header."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.posexplode(F.split(F.col(text_col), "\n")).alias("block_idx", "content"))
-    i = F.col("block_idx")
-    kind = F.when(word_count("content") <= header_words, "SectionHeader").when(i % 7 == 6, "Figure").when(i % 11 == 10, "TableGroup").otherwise("Text")
-    page = F.floor(i / lines_per_page).cast("int")
+    kind = F.when(word_count("content") <= header_words, "SectionHeader").otherwise("Text")
+    page = F.floor(F.col("block_idx") / lines_per_page).cast("int")
     return rows.where(strip("content") != "").select("doc_id", page.alias("page_idx"), page.alias("page_number"), "block_idx", kind.alias("block_type"), "content")
