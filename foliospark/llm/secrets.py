@@ -52,21 +52,37 @@ def _none() -> F.Column:
     return F.array().cast(_SPAN)
 
 
+#: Elements that a list grows by before it is put aside, so that long lists aren't copied for each element.
+GROWS = 128
+
+
+def _grown(rows, element: str, start: F.Column, step) -> F.Column:
+    """The array that step adds to for each row: step(at, row) gives the next position and an array of new elements."""
+    none = F.array().cast(f"array<{element}>")
+    first = F.struct(start.alias("at"), F.array().cast(f"array<array<{element}>>").alias("done"), none.alias("last"))
+
+    def add(acc, x):
+        at, new = step(acc["at"], x)
+        full = F.size(acc["last"]) >= GROWS
+        done = F.when(full, F.concat(acc["done"], F.array(acc["last"]))).otherwise(acc["done"])
+        return F.struct(at.alias("at"), done.alias("done"), F.concat(F.when(full, none).otherwise(acc["last"]), new).alias("last"))
+
+    return F.aggregate(rows, first, add, lambda acc: F.flatten(F.concat(acc["done"], F.array(acc["last"]))))
+
+
 def _spans(text, pattern: str, kind: int, group: int | None = None, least: int = 0) -> F.Column:
     """Spans of the pattern's matches; with a group, those where it has so many characters at least."""
     matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     groups = matches if group is None else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     zipped = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), matches.alias("match"), groups.alias("group"))
     rows = F.transform(F.filter(zipped, lambda x: x["match"].isNotNull()), lambda x: F.struct(F.length(x["gap"]).alias("gap"), F.length(x["match"]).alias("size"), F.length(x["group"]).alias("g")))
-    start = F.struct(F.lit(0).alias("at"), _none().alias("spans"))
 
-    def step(acc, x):
-        begin = acc["at"] + x["gap"]
+    def step(at, x):
+        begin = at + x["gap"]
         end = begin + x["size"]
-        new = F.when(x["g"] >= least, F.array(F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))).otherwise(_none())
-        return F.struct(end.alias("at"), F.concat(acc["spans"], new).alias("spans"))
+        return end, F.when(x["g"] >= least, F.array(F.struct(begin.alias("start"), F.lit(kind).alias("kind"), end.alias("end")))).otherwise(_none())
 
-    return F.aggregate(rows, start, step, lambda acc: acc["spans"])
+    return _grown(rows, _SPAN[6:-1], F.lit(0), step)
 
 
 def _windows_over(text: F.Column, begin: F.Column, least: F.Column, allowed: F.Column) -> F.Column:
@@ -101,13 +117,12 @@ def _windows_over(text: F.Column, begin: F.Column, least: F.Column, allowed: F.C
 def _entropy_spans(text) -> F.Column:
     matches = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     zipped = F.filter(F.arrays_zip(F.split(text, CANDIDATE, -1).alias("gap"), matches.alias("match")), lambda x: x["match"].isNotNull())
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<m:string,at:int>>").alias("found"))
 
-    def step(acc, x):
-        begin = acc["at"] + F.length(x["gap"])
-        return F.struct((begin + F.length(x["match"])).alias("at"), F.concat(acc["found"], F.array(F.struct(x["match"].alias("m"), begin.alias("at")))).alias("found"))
+    def step(at, x):
+        begin = at + F.length(x["gap"])
+        return begin + F.length(x["match"]), F.array(F.struct(x["match"].alias("m"), begin.alias("at")))
 
-    found = F.aggregate(zipped, start, step, lambda acc: acc["found"])
+    found = _grown(zipped, "struct<m:string,at:int>", F.lit(0), step)
     allowed = lambda m: F.when(m.rlike("|".join(f"(?:{p})" for p in ALLOW)), F.concat(*[_spans(m, p, 3) for p in ALLOW])).otherwise(_none())
     least = lambda m: (
         F.when(m.rlike(r"^[0-9a-fA-F]*$") & m.rlike("[a-fA-F]") & m.rlike("[0-9]"), F.lit(THRESHOLDS["hex"]))
@@ -161,3 +176,59 @@ def op1_secret_scans(spark, sf_dir: str) -> DataFrame:
     of = lambda k: lambda x: x["kind"] == k
     counts = [F.size(F.filter("base_spans", of(k))).cast("long").alias(f"n_{KINDS[k]}") for k in range(3)]
     return found.select("doc_id", *counts, F.sha2(as_text(F.col("base_spans")), 256).alias("base_sha256"), as_text(F.col("secret_spans")).alias("spans"))
+
+
+def _found_sql(name: str, source: str, text: str, pattern: str, where: str = "true") -> str:
+    """A CTE name(key, b, e, m) of a pattern's matches m in a source's text: from b to e, in code points."""
+    quoted = "'" + pattern.replace("'", "''") + "'"
+    return f"""
+{name}_ AS (
+  SELECT key, unnest(string_split_regex({text}, {quoted})) AS gap, unnest(regexp_extract_all({text}, {quoted})) AS m, generate_subscripts(string_split_regex({text}, {quoted}), 1) AS i FROM {source} WHERE regexp_matches({text}, {quoted})
+), {name} AS (
+  SELECT key, e - length(m) AS b, e, m FROM (SELECT *, sum(length(gap) + length(m)) OVER (PARTITION BY key ORDER BY i) AS e FROM {name}_ WHERE m IS NOT NULL) WHERE {where}
+)"""
+
+
+def _op1_sql() -> str:
+    """Windows one by one with their entropy, where the operator counts incrementally; positions one by one for what base spans leave."""
+    group = ASSIGN.replace("'", "''")
+    long_enough = f"length(regexp_extract(m, '{group}', 2)) >= {ASSIGN_LEAST}"
+    allow = [_found_sql(f"l{k}", "c", "x", p) for k, p in enumerate(ALLOW)]
+    t = THRESHOLDS
+    return f"""
+WITH t AS (SELECT doc_id AS key, coalesce(text, '') AS x FROM documents),
+{_found_sql("ba", "t", "x", ASSIGN, long_enough)},
+{_found_sql("bk", "t", "x", ACCESS)},
+{_found_sql("bh", "t", "x", HEX)},
+base AS (SELECT key, b, 0 AS kind, e FROM ba UNION ALL SELECT key, b, 1, e FROM bk UNION ALL SELECT key, b, 2, e FROM bh),
+{_found_sql("cand", "t", "x", CANDIDATE)},
+c AS (
+  SELECT key AS doc, b AS pos, row_number() OVER () AS key, m AS x, CASE
+    WHEN regexp_matches(m, '^[0-9a-fA-F]*$') AND regexp_matches(m, '[a-fA-F]') AND regexp_matches(m, '[0-9]') THEN {t["hex"]}
+    WHEN regexp_matches(m, '^[A-Za-z]*$') THEN {t["letters"]} WHEN regexp_matches(m, '[A-Za-z]') AND regexp_matches(m, '[0-9]') THEN {t["mixed"]}
+    WHEN regexp_matches(m, '[A-Za-z]') THEN {t["words"]} WHEN regexp_matches(m, '[0-9]') THEN {t["digits"]} END::DOUBLE AS least FROM cand
+),
+{",".join(allow)},
+allowed AS ({" UNION ALL ".join(f"SELECT key, b, e FROM l{k}" for k in range(len(ALLOW)))}),
+w AS (SELECT doc, pos, key, least, x, unnest(range(0, length(x) - {WINDOW - 1})) AS i FROM c WHERE least IS NOT NULL),
+hit AS (
+  SELECT doc, key, pos + i AS b FROM w WHERE list_aggregate(string_split(substr(x, i + 1, {WINDOW}), ''), 'entropy') >= least
+    AND NOT EXISTS (SELECT 1 FROM allowed a WHERE a.key = w.key AND a.b < w.i + {WINDOW} AND w.i < a.e)
+),
+near AS (SELECT *, coalesce(b - lag(b) OVER (PARTITION BY key ORDER BY b) > {WINDOW}, true) AS fresh FROM hit),
+isle AS (SELECT *, sum(fresh::INT) OVER (PARTITION BY key ORDER BY b) AS g FROM near),
+span AS (SELECT doc, key, g, min(b) AS b, max(b) + {WINDOW} AS e FROM isle GROUP BY ALL),
+place AS (SELECT doc, key, g, unnest(range(b::BIGINT, e::BIGINT)) AS p FROM span),
+free AS (SELECT *, p - row_number() OVER (PARTITION BY key, g ORDER BY p) AS h FROM place WHERE NOT EXISTS (SELECT 1 FROM base WHERE base.key = place.doc AND base.b <= p AND p < base.e)),
+spans AS (SELECT * FROM base UNION ALL SELECT doc, min(p), 3, max(p) + 1 FROM free GROUP BY doc, key, g, h),
+named AS (SELECT key, b, kind, e, {list(KINDS)}[kind + 1] || ':' || b::BIGINT || ':' || e::BIGINT AS s FROM spans),
+joined AS (
+  SELECT key, count(*) FILTER (kind = 0) AS n_assign, count(*) FILTER (kind = 1) AS n_access, count(*) FILTER (kind = 2) AS n_hex,
+    string_agg(s, ',' ORDER BY b, kind, e) FILTER (kind < 3) AS base, string_agg(s, ',' ORDER BY b, kind, e) AS spans FROM named GROUP BY key
+)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM documents LEFT JOIN joined ON key = doc_id
+"""
+
+
+OP1_SQL = _op1_sql()

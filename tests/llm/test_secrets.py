@@ -146,3 +146,15 @@ def test_allow_list_hides_only_what_it_matches(spark, documents):
     for r in rows:
         text, want = ALLOWED[r["doc_id"]]
         assert entropy_parts(text, r["s"]) == want, text
+
+
+def test_many_matches_in_one_text_take_seconds(spark, documents):
+    import time
+
+    text = " ".join(["0123456789abcdef"] * 20_000) + " " + " ".join(["Zx8qP2mK4vR7tY1wL9sD3fG6"] * 200)
+    began = time.time()
+    row = secrets.scan_secrets(documents([text]).select("doc_id", "text"), outside=True).select("secret_spans").head()
+    spans = [(x["start"], x["kind"], x["end"]) for x in row["secret_spans"]]
+    assert spans[:3] == [(0, 2, 16), (17, 2, 33), (34, 2, 50)] and len([s for s in spans if s[1] == 2]) == 20_000
+    assert len(spans) == 20_200
+    assert time.time() - began < 60
