@@ -40,7 +40,7 @@ COORDINATES, MATCHES = 48, 26
 ALL, ALL_MATCHES = 128, 82
 SHORT = 4 * COORDINATES + 2 * (ALL - COORDINATES)
 #: Rows of a posting list that stay in one group; longer lists are dealt into blocks, which outsiders visit.
-BLOCK = 2000
+BLOCK = 500
 NEAREST = 2
 #: Rows with signatures or sets in a partition.
 ROWS = 10_000
@@ -176,15 +176,20 @@ def _outsiders(posts: DataFrame, first: DataFrame, found: DataFrame, reps: DataF
     return members.join(lists, ["k", "v"], "left_semi").join(reps.select("id", "n", "short"), "id")
 
 
+def dealt_into_blocks(rows: DataFrame) -> DataFrame:
+    """rows (id, g blocks, out, ...) with own, the block of their list that they are in, once for each block x that they visit."""
+    own = F.pmod(F.xxhash64("id"), F.col("g")).cast("int")
+    visits = F.when(F.col("out"), F.sequence(F.lit(0), F.col("g") - 1)).otherwise(F.array("own"))
+    return rows.withColumn("own", own).select("*", F.explode(visits).alias("x"))
+
+
 def _across(rows: DataFrame, percent: int, want: str) -> DataFrame:
     """Pairs of the lists' members in different components, one of them an outsider, that collide often enough.
 
     want: "nearest", (a, b) of each outsider's NEAREST; "members", (k, v, id) of the rows that are in pairs; "links",
     (a, b) of pairs confirmed on the rows' shingles, but for those that join what links of the list have joined.
     """
-    own = F.pmod(F.xxhash64("id"), F.col("g")).cast("int")
-    visits = F.when(F.col("out"), F.sequence(F.lit(0), F.col("g") - 1)).otherwise(F.array("own"))
-    dealt = rows.withColumn("own", own).select("*", F.explode(visits).alias("x"))
+    dealt = dealt_into_blocks(rows)
     full = ["shingles"] if want == "links" else []
     parts = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     keys = ["k", "v", "x"]
@@ -287,6 +292,7 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, text_
     whole = cut(signed.join(classes, ["h1", "h2"]).where("id = rep").select("id", "n", "sig", "short").dropDuplicates(["id"]))
     keys = cut(signed.select("id", "n", "h1", "h2"))
     del signed
+    release(spark)
     posts = cut(_prefix(whole))
     reps = cut(whole.join(posts.select("id").distinct(), "id", "left_semi").select("id", "n", "short"))  # those that can have a partner
     del whole
@@ -324,3 +330,23 @@ def keep_one(docs: DataFrame, *, words: int = 5, percent: int = 80, text_col: st
 
 def op5_minhash(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(read_table(spark, sf_dir, "documents"), words=4, percent=80)
+
+
+OP5_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, array_to_string(w[i:i + 3], ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 2, 2))) AS i FROM d WHERE len(w) > 0)
+), n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), p AS (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM s a JOIN s b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL
+), h AS (
+  SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * p.n >= 80 * (x.n + y.n - p.n)
+), l AS (SELECT a, b FROM h UNION ALL SELECT b, a FROM h
+), r AS (
+  SELECT doc_id AS n, doc_id AS c FROM documents
+  UNION
+  SELECT l.b, r.c FROM r JOIN l ON l.a = r.n WHERE l.b > r.c
+), c AS (SELECT n, min(c) AS c FROM r GROUP BY n)
+SELECT d.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, c.c AS component_id, d.doc_id = c.c AS kept
+FROM documents d JOIN c ON c.n = d.doc_id LEFT JOIN n ON n.doc_id = d.doc_id
+"""

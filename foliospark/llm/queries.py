@@ -19,7 +19,9 @@ QUERIES = {
 
 #: Where SQL gives the same rows on whole tables in reasonable time; the others are tested against brute force.
 ORACLES = {
+    "op1_secret_scans": secrets.OP1_SQL,
     "op2_line_dedup": line_dedup.OP2_SQL,
+    "op5_minhash": minhash.OP5_SQL,
     "op7_url_filters": url_filter.OP7_SQL,
     "op8_nearest": nearest.OP8_SQL,
     "op9_embedding_dedup": embedding_dedup.OP9_SQL,

@@ -75,6 +75,15 @@ def test_query_on_the_whole_table(spark):
     check(minhash.op5_minhash(spark, sf).collect(), list(zip(docs["doc_id"], docs["text"], strict=True)), 4)
 
 
+def test_only_outsiders_visit_other_blocks(spark):
+    rows = spark.range(10_001).selectExpr("id", "0 AS k", "7L AS v", "1L AS mask", "0L AS label", "id = 10000 AS out", "10L AS n", "21 AS g")
+    dealt = minhash.dealt_into_blocks(rows)
+    assert dealt.count() == 10_000 + 21
+    assert dealt.groupBy("x").count().agg({"count": "max"}).head()[0] < 600
+    every = dealt.where("id = 10000").select("x").distinct().count()
+    assert every == 21
+
+
 def test_null_ids_and_repeated_rows_and_empty_tables(spark, documents):
     docs = documents(["one two three four five", "one two three four five", "one two three four five", None], [None, 4, 4, 9])
     got = sorted((r["doc_id"] or -1, r["component_id"], r["kept"]) for r in minhash.near_duplicates(docs, words=4).collect())

@@ -69,3 +69,33 @@ def test_language_stage_rejects_other_languages_and_letter_junk(spark):
     docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in texts.items()], "doc_id long, text string, lang string, source string, n_chars long")
     out = corpus_pipeline.keep_known_languages(spark, docs, sf)
     assert sorted(r["doc_id"] for r in out.collect()) == [7, 8, 9, 10]
+
+
+def _count(spark, df, path):
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
+
+
+def test_run_gives_the_last_stage_s_rows(spark):
+    sf = "/root/testdata/sf0.001"
+    got = corpus_pipeline.run(spark, sf)
+    assert got.columns == ["doc_id", "lang", "source", "ids", "n_tokens", "decoded_sha256"]
+    texts = {r["doc_id"] for r in spark.read.parquet(f"{sf}/documents.parquet").collect()}
+    rows = got.collect()
+    assert rows and {r["doc_id"] for r in rows} <= texts
+    assert all(len(r["ids"]) == r["n_tokens"] for r in rows)
+
+
+def test_stages_take_empty_null_and_clashing_input(spark, tmp_path):
+    sf = "/root/testdata/sf0.001"
+    rows = [(None, None, None, None, None), (1, "", None, "s", 0), (2, "All human beings are born free and equal in dignity and rights.", "en", None, 9), (2, "All human beings are born free and equal in dignity and rights.", "en", None, 9)]
+    columns = "doc_id long, text string, lang string, source string, n_chars long"
+    odd = spark.createDataFrame(rows, columns).selectExpr("*", "1 AS size", "'x' AS id", "2 AS k", "9 AS n", "'t' AS t", "3 AS copies", "1.5D AS score")
+    for docs in (odd.limit(0), odd):
+        for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+            out = stage(spark, docs, sf)
+            if name != "bpe":
+                assert out.columns == docs.columns, name
+            docs = _count(spark, out, str(tmp_path / f"{k}"))
+        left = docs.count()
+    assert left >= 1
