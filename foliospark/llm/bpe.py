@@ -176,6 +176,11 @@ class Codec:
         self.known: dict[str, int] = {}
         self.starts, self.sizes, self.met, self.flat, self.used = np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, bool), np.zeros(1 << 16, np.int32), 0
 
+    def close(self) -> None:
+        """Frees the connection's memory, and what is known."""
+        self.con.close()
+        self.known = {}
+
     def _table(self, name: str, **columns) -> None:
         self.con.register("source", pa.table(columns))
         self.con.execute(f"CREATE TABLE {name} AS SELECT * FROM source")
@@ -265,17 +270,6 @@ def _lists(ids: np.ndarray, counts: np.ndarray) -> pa.ListArray:
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(counts)]), pa.int32()), pa.array(ids, pa.int32()))
 
 
-_SHARED: dict[tuple, Codec] = {}
-
-
-def _codec(merges: Merges, pattern: str, key: tuple) -> Codec:
-    """One codec for each worker process and vocabulary."""
-    if key not in _SHARED:
-        _SHARED.clear()
-        _SHARED[key] = Codec(merges, pattern)
-    return _SHARED[key]
-
-
 def load_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
     """Ranks from a file that the driver's machine has, or that Spark can read."""
     try:
@@ -285,22 +279,21 @@ def load_ranks(spark: SparkSession, path: str) -> dict[bytes, int]:
         return read_ranks([r[0] for r in spark.read.text(path).collect()])  # a vocabulary
 
 
-def _shared_codec(spark: SparkSession, ranks_file: str, pattern: str):
-    """A function that gives a task its process's codec; the merge tables are broadcast, a vocabulary's size."""
+def _codec_maker(spark: SparkSession, ranks_file: str, pattern: str):
+    """A function that makes a task's codec; the merge tables are broadcast, a vocabulary's size."""
     ranks = load_ranks(spark, ranks_file)
     if max(ranks.values(), default=0) >= FIRST:
         raise ValueError("vocabularies beyond 65536 tokens don't fit the merge tables' keys")
-    key = (ranks_file, len(ranks), pattern)
     shared = spark.sparkContext.broadcast(Merges(ranks))
-    return lambda: _codec(shared.value, pattern, key)
+    return lambda: Codec(shared.value, pattern)
 
 
 def encode(df: DataFrame, ranks_file: str, pattern: str, *, text_col: str = "text", with_ids: bool = True, hashes: bool = False) -> DataFrame:
     """df with ids (array of int) and n_tokens; with hashes ids_sha256 and decoded_sha256 (of the decoded bytes), too."""
-    get_codec = _shared_codec(df.sparkSession, ranks_file, pattern)
+    new_codec = _codec_maker(df.sparkSession, ranks_file, pattern)
 
     def make():
-        codec = get_codec()
+        codec = new_codec()
 
         def part(texts: list[str | None]) -> list[pa.Array]:
             ids, counts = codec.encode(texts)
@@ -317,6 +310,7 @@ def encode(df: DataFrame, ranks_file: str, pattern: str, *, text_col: str = "tex
             parts = [part(texts[s]) for s in slices([len(t or "") for t in texts], SLICE_CHARS)] or [part([])]
             return [pa.concat_arrays(column) for column in zip(*parts, strict=True)]
 
+        compute.close = codec.close
         return compute
 
     fields = [("ids", T.ArrayType(T.IntegerType()))] * with_ids + [("n_tokens", T.LongType())] + [("ids_sha256", T.StringType()), ("decoded_sha256", T.StringType())] * hashes
@@ -325,10 +319,10 @@ def encode(df: DataFrame, ranks_file: str, pattern: str, *, text_col: str = "tex
 
 def decode(df: DataFrame, ranks_file: str, pattern: str, *, ids_col: str = "ids") -> DataFrame:
     """df with decoded (binary): the bytes of ids (null: none)."""
-    get_codec = _shared_codec(df.sparkSession, ranks_file, pattern)
+    new_codec = _codec_maker(df.sparkSession, ranks_file, pattern)
 
     def make():
-        codec = get_codec()
+        codec = new_codec()
 
         def compute(batch: pa.RecordBatch):
             lists = [np.array(x or [], np.int64) for x in text_of(batch, ids_col)]
@@ -338,6 +332,7 @@ def decode(df: DataFrame, ranks_file: str, pattern: str, *, ids_col: str = "ids"
                 out += [bytes.fromhex(h) for h in codec.decode(np.concatenate(some), np.array([len(x) for x in some]))]
             return [pa.array(out, pa.binary())]
 
+        compute.close = codec.close
         return compute
 
     return append_columns(df, [T.StructField("decoded", T.BinaryType())], make)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
@@ -69,24 +70,50 @@ def bound_batches(spark: SparkSession) -> None:
             spark.conf.set(key, str(most))
 
 
+def give_back() -> None:
+    """Returns what a worker process no longer uses to the system: processes stay for other tasks, with all they hold."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library, which has its own ways
+        pass
+
+
+def map_batches(df: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema) -> DataFrame:
+    """mapInArrow on small batches; a task that ends gives its memory back."""
+    bound_batches(df.sparkSession)
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+
+    return df.mapInArrow(whole, schema)
+
+
 def append_columns(df: DataFrame, fields: Sequence[T.StructField], make: Callable[[], Callable[[pa.RecordBatch], Sequence[pa.Array]]]) -> DataFrame:
     """df with columns that Python computes from Arrow batches; an input column with an output's name is replaced.
 
-    make() runs once for each partition and returns the function from a batch to the new arrays.
+    make() runs once for each partition and returns the function from a batch to the new arrays, which may have a method
+    close for the partition's end.
     """
-    bound_batches(df.sparkSession)
     names = {f.name for f in fields}
     kept = [c for c in df.columns if c not in names]
     schema = T.StructType([f for f in df.schema.fields if f.name not in names] + list(fields))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compute = None
-        for batch in batches:
-            compute = compute or make()
-            new = compute(batch)
-            yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), *new], names=[*kept, *(f.name for f in fields)])
-
-    return df.mapInArrow(run, schema)
+        try:
+            for batch in batches:
+                compute = compute or make()
+                new = compute(batch)
+                yield pa.RecordBatch.from_arrays([*(batch.column(batch.schema.get_field_index(c)) for c in kept), *new], names=[*kept, *(f.name for f in fields)])
+        finally:
+            getattr(compute, "close", int)()
+
+    return map_batches(df, run, schema)
 
 
 def text_of(batch: pa.RecordBatch, column: str) -> list[str | None]:

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import broadcast_if_small, cut, read_table, sorted_groups
+from foliospark.llm.common import broadcast_if_small, cut, map_batches, read_table, sorted_groups
 from foliospark.llm.components import components
 from foliospark.llm.vectors import matrix, valid
 
@@ -78,7 +78,7 @@ def _keyed(reps: DataFrame) -> DataFrame:
                 for k in range(TABLES):
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(rows), k, np.int32)), pa.array(keys[:, k]), *(batch.column(c).take(of) for c in range(3))], names=["k", "key", "id", "m", "v"])
 
-    return reps.select("id", "m", "v").mapInArrow(run, "k int, key long, id long, m long, v array<double>" if reps.schema["v"].dataType.simpleString() == "array<double>" else "k int, key long, id long, m long, v array<float>")
+    return map_batches(reps.select("id", "m", "v"), run, "k int, key long, id long, m long, v array<double>" if reps.schema["v"].dataType.simpleString() == "array<double>" else "k int, key long, id long, m long, v array<float>")
 
 
 def _group(k: int, ids: np.ndarray, m: np.ndarray, unit: np.ndarray, side: np.ndarray, threshold: float):
@@ -121,7 +121,7 @@ def _compare(groups: DataFrame, threshold: float) -> DataFrame:
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([o[i] for o in out])) for i in range(3)], names=["id", "links", "root"])
 
-    return groups.mapInArrow(run, "id long, links long, root long")
+    return map_batches(groups, run, "id long, links long, root long")
 
 
 def near_duplicate_vectors(df: DataFrame, *, threshold: float = 0.9, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:

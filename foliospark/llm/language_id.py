@@ -33,7 +33,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliospark.llm.common import append_columns, bound_batches, cut, read_table, slices, text_of
+from foliospark.llm.common import append_columns, cut, map_batches, read_table, slices, text_of
 
 MARK = "▁"
 MAX_DOCS = 1500
@@ -286,8 +286,7 @@ def _word_counts(rows: DataFrame) -> DataFrame:
             flat = [(g, w, n) for g, c in seen.items() for w, n in c.items()]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in flat], t) for k, t in ((0, pa.string()), (1, pa.string()), (2, pa.int64()))], names=["lang", "word", "n"])
 
-    bound_batches(rows.sparkSession)
-    return rows.mapInArrow(count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
+    return map_batches(rows, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
 def _sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, max_docs: int) -> tuple[list[str], DataFrame]:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from foliospark.llm.common import append_columns, bound_batches, broadcast_if_small, cut, read_table, text_of
+from foliospark.llm.common import append_columns, broadcast_if_small, cut, map_batches, read_table, text_of
 
 WINDOW = 3
 #: Marked documents up to which marks are broadcast, and marks among them.
@@ -63,9 +63,8 @@ def _windows(docs: DataFrame, text_col: str, id_col: str) -> DataFrame:
             of = pa.array(row, pa.int64())
             yield pa.RecordBatch.from_arrays([pa.array(g[:, 0]), pa.array(g[:, 1]), batch.column(0).take(of), batch.column(1).take(of), pa.array(at, pa.int32())], names=["g1", "g2", "id", "t", "at"])
 
-    bound_batches(docs.sparkSession)
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.xxhash64(F.col(text_col)).alias("t"), F.col(text_col).alias("text"))
-    return rows.mapInArrow(run, "g1 long, g2 long, id long, t long, at int")
+    return map_batches(rows, run, "g1 long, g2 long, id long, t long, at int")
 
 
 def repeated_windows(docs: DataFrame, *, text_col: str = "text", id_col: str = "doc_id") -> DataFrame:

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bound_batches, broadcast_if_small, cut, packed, read_table, release, sorted_groups, text_of
+from foliospark.llm.common import broadcast_if_small, cut, map_batches, packed, read_table, release, sorted_groups, text_of
 from foliospark.llm.components import components
 
 COORDINATES, MATCHES = 48, 26
@@ -137,8 +137,7 @@ def _signed(docs: DataFrame, words: int) -> DataFrame:
                 names=["id", "n", "h1", "h2", "sig", "short"],
             )
 
-    bound_batches(docs.sparkSession)
-    return docs.select("id", "text").mapInArrow(run, "id long, n long, h1 long, h2 long, sig array<long>, short binary")
+    return map_batches(docs.select("id", "text"), run, "id long, n long, h1 long, h2 long, sig array<long>, short binary")
 
 
 def _prefix(reps: DataFrame) -> DataFrame:
@@ -248,7 +247,7 @@ def _across(rows: DataFrame, percent: int, want: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(flat[:, i]) for i in range(len(names))], names=names)
 
     names = ["k", "v", "id"] if want == "members" else ["a", "b"]
-    return spread.mapInArrow(run, ", ".join(f"{c} long" for c in names)).distinct()
+    return map_batches(spread, run, ", ".join(f"{c} long" for c in names)).distinct()
 
 
 def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
@@ -261,7 +260,7 @@ def _sets(docs: DataFrame, ids: DataFrame, words: int) -> DataFrame:
             sets = [shingler.of_words(shingler.words(t)).tobytes() for t in text_of(batch, "text")]
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(sets, pa.binary())], names=["id", "shingles"])
 
-    return found.mapInArrow(run, "id long, shingles binary").dropDuplicates(["id"])
+    return map_batches(found, run, "id long, shingles binary").dropDuplicates(["id"])
 
 
 def _similar(a: np.ndarray, b: np.ndarray, percent: int) -> bool:

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from foliospark.llm.common import bound_batches, cut, read_table
+from foliospark.llm.common import cut, map_batches, read_table
 from foliospark.llm.vectors import matrix, valid
 
 PROJECTIONS = 64
@@ -136,12 +136,11 @@ def _search(rows: DataFrame, queries: list[tuple], k: int) -> DataFrame:
         for ids, vectors in held.values():
             yield from answer(ids, vectors)
 
-    return rows.mapInArrow(run, "query_id long, vec_id long, score double")
+    return map_batches(rows, run, "query_id long, vec_id long, score double")
 
 
 def nearest(df: DataFrame, queries: DataFrame, *, k: int = 10, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): the k nearest rows of df found for each row of queries."""
-    bound_batches(df.sparkSession)
     usable = lambda x: valid(x.select(F.col(id_col).cast("long").alias("id"), F.col(vec_col).alias("v")).where("id IS NOT NULL"), "v")
     rows, asked = usable(df), cut(usable(queries).dropDuplicates(["id"]))
     blocks = max(1, -(-asked.count() // (BLOCK // 2)))  # by hash, so that a block stays under BLOCK rows
