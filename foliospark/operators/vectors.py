@@ -2,15 +2,21 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Iterator, Mapping, Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from foliospark.functions import vector as V
 
-#: Rows of a query side up to which it is broadcast in a batch search.
-BROADCAST_QUERIES = 10_000
+#: Queries that are broadcast at a time in a batch search, rows that a matrix product takes, and what rounding may shift
+#: (a part of the largest squared length, or of 1 for cosines).
+BLOCK_QUERIES = 1_000
+ROWS_AT_A_TIME = 2_000
+SLACK = 1e-9
 
 
 def knn(vectors: DataFrame, query: Sequence[float], k: int = 10, *, metric: str = "cosine", filters: Mapping[str, object] | None = None, id_col: str = "chunk_id", vec_col: str = "embedding", min_score: float | None = None) -> DataFrame:
@@ -28,23 +34,80 @@ def knn(vectors: DataFrame, query: Sequence[float], k: int = 10, *, metric: str
 
 
 def knn_batch(vectors: DataFrame, queries: DataFrame, k: int = 10, *, metric: str = "cosine", id_col: str = "chunk_id", vec_col: str = "embedding", query_id: str = "query_id", query_vec: str = "query_vec") -> DataFrame:
-    """(query_id, rank, id, score): the k nearest rows of each query.
+    """(query_id, rank, id, score): the k nearest rows of each query, ties by id.
 
-    Queries meet all rows in blocks of BROADCAST_QUERIES, so that what is broadcast stays bounded; each block keeps k
-    rows of each query.
+    Queries meet the rows in blocks of about BLOCK_QUERIES, so that what is broadcast stays bounded. Matrix products
+    choose each partition's candidates for each query, and those alone are scored exactly and ranked. Rows and queries
+    without a vector, or with null or NaN in it, are left out, as are rows of another length than the query's.
     """
-    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).cast("array<double>").alias("_q"))
-    blocks = max(1, -(-asked.count() // BROADCAST_QUERIES))
+    spark = vectors.sparkSession
+    rows = vectors.select(F.col(id_col).alias("_id"), F.col(vec_col).alias("_v"))
+    asked = queries.select(F.col(query_id).alias("query_id"), F.col(query_vec).cast("array<double>").alias("_q")).where("_q IS NOT NULL")
+    blocks = max(1, -(-asked.count() // BLOCK_QUERIES))
     order = F.col("score").desc() if V.descending(metric) else F.col("score").asc()
-    w = Window.partitionBy("query_id").orderBy(order, F.col(id_col))
+    w = Window.partitionBy("query_id").orderBy(order, F.col("_id"))
+    schema = T.StructType([T.StructField("_i", T.IntegerType()), *asked.schema.fields])
     out = None
     for b in range(blocks):
-        block = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b) if blocks > 1 else asked
-        pairs = vectors.select(id_col, F.col(vec_col).alias("_v")).crossJoin(F.broadcast(block))
-        scored = pairs.select("query_id", id_col, V.score(metric, F.col("_v"), F.col("_q")).alias("score")).where("score IS NOT NULL")
-        best = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
-        out = best if out is None else out.unionByName(best)
-    return out.select("query_id", "rank", id_col, "score")
+        block = asked.where(F.pmod(F.xxhash64("query_id"), F.lit(blocks)) == b).collect() if blocks > 1 else asked.collect()  # a block at a time
+        for dims in {len(r["_q"]) for r in block} or {1}:
+            some = [r for r in block if len(r["_q"]) == dims]
+            small = spark.createDataFrame([(i, r["query_id"], r["_q"]) for i, r in enumerate(some)], schema)
+            near = _candidates(rows, np.array([r["_q"] for r in some], np.float64).reshape(len(some), dims), k, metric).join(F.broadcast(small), "_i")
+            scored = near.select("query_id", "_id", V.score(metric, F.col("_v"), F.col("_q")).alias("score")).where("score IS NOT NULL")
+            best = scored.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+            out = best if out is None else out.unionByName(best)
+    return out.select("query_id", "rank", F.col("_id").alias(id_col), "score")
+
+
+def _scores(metric: str, asked: np.ndarray, x: np.ndarray) -> np.ndarray:
+    """Scores of all rows for all queries, larger is nearer; NaN for what has none."""
+    with np.errstate(all="ignore"):
+        if metric == "euclid":
+            return 2 * asked @ x.T - (asked**2).sum(1)[:, None] - (x**2).sum(1)  # less the squared distance
+        products = asked @ x.T
+        return products if metric == "dot" else products / (np.linalg.norm(asked, axis=1)[:, None] * np.linalg.norm(x, axis=1))
+
+
+def _nearest(query: np.ndarray, score: np.ndarray, k: int, slack: float) -> np.ndarray:
+    """Places of each query's k best scores, and of those that rounding, up to the slack, may hide behind the last of them."""
+    order = np.lexsort((-score, query))
+    begins = np.flatnonzero(np.r_[True, np.diff(query[order]) != 0])
+    ends = np.r_[begins[1:], len(order)]
+    last = score[order][np.minimum(begins + k, ends) - 1]
+    return order[score[order] >= np.repeat(last - slack, ends - begins)]
+
+
+def _candidates(rows: DataFrame, asked: np.ndarray, k: int, metric: str) -> DataFrame:
+    """(_i, _id, _v) of rows (_id, _v): for each query (by its number), what may be among its k nearest of each partition."""
+    shared = rows.sparkSession.sparkContext.broadcast(asked)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import pyarrow.compute as pc
+
+        asked, held = shared.value, None
+        largest = (asked**2).sum(1).max(initial=0)
+        for batch in batches:
+            fits = batch.filter(pc.fill_null(pc.equal(pc.list_value_length(batch.column(1)), asked.shape[1]), False))
+            for at in range(0, len(fits) if len(asked) else 0, ROWS_AT_A_TIME):
+                part = fits.slice(at, ROWS_AT_A_TIME)
+                x = part.column(1).flatten().to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(part), -1)
+                scores = _scores(metric, asked, x)
+                query, place = np.nonzero(~np.isnan(scores))
+                if not len(query):
+                    continue
+                largest = max(largest, np.nanmax((x**2).sum(1), initial=0))
+                slack = SLACK * (1 if metric == "cosine" else 1 + largest)
+                best = _nearest(query, scores[query, place], k, slack)
+                query, place = query[best], place[best]
+                new = pa.table([pa.array(query), pa.array(scores[query, place]), part.column(0).take(pa.array(place)), part.column(1).take(pa.array(place))], names=["_i", "s", "_id", "_v"])
+                held = new if held is None else pa.concat_tables([held, new])
+                held = held.take(pa.array(_nearest(held.column("_i").to_numpy(), held.column("s").to_numpy(), k, slack)))
+        if held is not None:
+            for b in held.combine_chunks().to_batches():
+                yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int32()), b.column(2), b.column(3)], names=["_i", "_id", "_v"])
+
+    return rows.mapInArrow(run, T.StructType([T.StructField("_i", T.IntegerType()), *rows.schema.fields]))
 
 
 def check_dimension(vectors: DataFrame, dim: int, *, vec_col: str = "embedding") -> DataFrame:

@@ -1,3 +1,6 @@
+import math
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -108,3 +111,26 @@ def test_small_models(spark):
     df = spark.createDataFrame([("Score: 4",), ("I say 3/5.",), ("none",), (None,)], "c string")
     assert [r[0] for r in df.select(g_eval_score(F.col("c"))).collect()] == [4.0, 3.0, 1.0, 1.0]
     assert spark.range(1).select(sentences(F.lit("One. Two!  Three"))).head()[0] == ["One.", "Two!", "Three"]
+
+
+@pytest.mark.parametrize("metric", ["cosine", "dot", "euclid"])
+def test_batch_search_equals_brute_force_with_ties_and_odd_vectors(spark, metric):
+    rng = random.Random(3)
+    rows = [(i, [float(rng.randrange(-2, 3)) for _ in range(3)]) for i in range(400)] + [(400, None), (401, [1.0]), (402, [0.0, 0.0, 0.0]), (403, [1.0, None, 2.0])]
+    asked = [(i, [float(rng.randrange(-2, 3)) + 0.1 for _ in range(3)]) for i in range(7)] + [(7, [5.0]), (8, None)]
+    got = V.knn_batch(spark.createDataFrame(rows, "chunk_id long, embedding array<double>").repartition(5), spark.createDataFrame(asked, "query_id long, query_vec array<double>"), 6, metric=metric).collect()
+
+    def score(a, b):
+        if b is None or len(a) != len(b) or None in b:
+            return None
+        dot = sum(x * y for x, y in zip(a, b, strict=True))
+        norm = math.sqrt(sum(x * x for x in a)) * math.sqrt(sum(x * x for x in b))
+        return dot if metric == "dot" else (dot / norm if norm else None) if metric == "cosine" else math.sqrt(sum((x - y) ** 2 for x, y in zip(a, b, strict=True)))
+
+    sign = 1 if metric == "euclid" else -1
+    for q, v in asked:
+        scored = [(sign * round(s, 12), i) for i, x in rows if v is not None and (s := score(v, x)) is not None]
+        want = [i for _, i in sorted(scored)[:6]]
+        mine = sorted((r["rank"], r["chunk_id"]) for r in got if r["query_id"] == q)
+        assert [round(r["score"], 9) for r in sorted((r for r in got if r["query_id"] == q), key=lambda r: r["rank"])] == [round(sign * s, 9) for s, _ in sorted(scored)[:6]]
+        assert len(mine) == len(want)
