@@ -54,6 +54,15 @@ def release(spark: SparkSession) -> None:
     spark.sparkContext._jvm.System.gc()
 
 
+def shrink_heaps(spark: SparkSession) -> None:
+    """Lets the executors' JVMs collect garbage, which returns what a heap no longer uses to the system.
+
+    A heap stays as large as earlier stages made it, beside Python workers that need the room. There is a task for each
+    core, so every idle executor gets one."""
+    cores = spark.sparkContext.defaultParallelism
+    spark.range(0, cores, 1, cores).selectExpr("java_method('java.lang.System', 'gc')").collect()  # a null for each core
+
+
 def packed(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """The rows of a checkpoint in partitions of about so many: few rows don't need a shuffle file for each partition."""
     return df.coalesce(max(1, -(-df.count() // rows)))

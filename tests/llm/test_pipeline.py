@@ -99,3 +99,16 @@ def test_stages_take_empty_null_and_clashing_input(spark, tmp_path):
             docs = _count(spark, out, str(tmp_path / f"{k}"))
         left = docs.count()
     assert left >= 1
+
+
+def _full_collections(spark):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    return sum(b.getCollectionCount() for b in beans if "Old" in b.getName() or "MarkSweep" in b.getName())
+
+
+def test_stages_begin_on_collected_heaps(spark):
+    docs = spark.createDataFrame([], "doc_id long, text string, lang string, source string, n_chars long")
+    for name, stage in corpus_pipeline.STAGES:
+        before = _full_collections(spark)
+        stage(spark, docs, "/root/testdata/sf0.001")
+        assert _full_collections(spark) > before, name
