@@ -37,7 +37,7 @@ def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     """Language ID: documents without a letter, whose best language holds under half of the probability, or that are
     less likely in it for their length than its labelled documents (other languages, letter junk), go."""
     labelled = read_table(spark, sf_dir, "documents").where(~language_id.held_out(F.col("doc_id")) & F.col("doc_id").isNotNull())
-    model = language_id.train(labelled, language_id.default_vocabulary())
+    model = language_id.train(labelled, language_id.default_vocabulary(), max_docs=None)
     least = language_id.least_fits(labelled, model)
     judged = language_id.predict(docs, model, with_fit=True)
     return judged.where((F.col("lang_pred") != "und") & (F.col("score") >= 0.5) & language_id.fits(least)).select(*docs.columns)

@@ -8,8 +8,9 @@ the first from equal probabilities. Every letter is a segment of its own with a
 the vocabulary. Words of any length are summed whole: sums are kept in proportion to a scale for each word and
 language, so that none is too small for a float.
 
-Learning takes at most about max_docs labelled rows of each language, chosen by a hash of doc_id; prediction
-takes every row and whole texts. The model is languages x pieces floats; MODEL_BYTES bounds what is broadcast.
+Learning takes all labelled rows (max_docs=None, as the pipeline does), or at most about max_docs of each language,
+chosen by a hash of doc_id; limits of fit (least_fits) come from all of them, and prediction takes every row and whole
+texts. The model is languages x pieces floats; MODEL_BYTES bounds what is broadcast.
 
 Defined results: a text that is null or has no letter gets `und` and score 0. score is the language's share of the
 probability with equal priors; ties go to the language first in code point order. Repeated rows are scored alike.
@@ -51,6 +52,8 @@ UNKNOWN = 1e-9
 FIT_SHARE = 0.01
 FIT_MARGIN = 1.0
 FIT_SLACK = 40.0
+#: Bins for one nat in which least_fits counts, from round to round; so few numbers in each, however many rows there are.
+FIT_BINS = (1e2, 1e5, 1e8, 1e11)
 
 
 def load_pieces(model_file: str) -> list[str]:
@@ -289,21 +292,26 @@ def _word_counts(rows: DataFrame) -> DataFrame:
     return map_batches(rows, count, "lang string, word string, n long").groupBy("lang", "word").agg(F.sum("n").alias("n"))
 
 
-def _sample(labelled: DataFrame, text_col: str, lang_col: str, id_col: str, max_docs: int) -> tuple[list[str], DataFrame]:
-    """The languages, and (lang, text) of about max_docs labelled rows of each."""
-    rows = labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+def _labelled(labelled: DataFrame, text_col: str, lang_col: str, id_col: str) -> DataFrame:
+    """(id, lang, text) of the labelled rows."""
+    return labelled.where(F.col(lang_col).isNotNull()).select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"), F.col(text_col).alias("text"))
+
+
+def _learned(rows: DataFrame, max_docs: int | None) -> tuple[list[str], DataFrame]:
+    """The languages of (id, lang, text), and (lang, text) of all rows or about max_docs of each."""
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count("*").alias("n")).collect()}  # one row for each language
-    if not sizes:
-        return [], rows.select("lang", "text")
+    if not sizes or max_docs is None:
+        return sorted(sizes), rows.select("lang", "text")
     share = F.create_map(*[F.lit(x) for g in sorted(sizes) for x in (g, min(1.0, max_docs / sizes[g]))])
     unit = F.shiftrightunsigned(F.xxhash64(F.lit(11), "id"), 11) / F.lit(float(1 << 53))
     return sorted(sizes), rows.where(unit < share[F.col("lang")]).select("lang", "text")
 
 
-def train(labelled: DataFrame, vocabulary: str, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_docs: int = MAX_DOCS, steps: int = 2) -> LanguageModel:
-    """A model from the labelled rows (lang not null); vocabulary: file of a public piece vocabulary."""
+def train(labelled: DataFrame, vocabulary: str, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_docs: int | None = MAX_DOCS, steps: int = 2) -> LanguageModel:
+    """A model from the labelled rows (lang not null), all of them without max_docs; vocabulary: file of a public piece
+    vocabulary."""
     spark = labelled.sparkSession
-    langs, rows = _sample(labelled, text_col, lang_col, id_col, max_docs)
+    langs, rows = _learned(_labelled(labelled, text_col, lang_col, id_col), max_docs)
     pieces = load_pieces(vocabulary)
     probs = np.full((max(1, len(langs)), len(pieces)), 1.0 / len(pieces))
     if not langs:
@@ -412,11 +420,34 @@ def predict(df: DataFrame, model: LanguageModel, *, text_col: str = "text", with
     return append_columns(df, FIELDS + FIT_FIELDS if with_fit else FIELDS, make)
 
 
-def least_fits(labelled: DataFrame, model: LanguageModel, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id", max_docs: int = MAX_DOCS) -> dict[str, float]:
+def least_fits(labelled: DataFrame, model: LanguageModel, *, text_col: str = "text", lang_col: str = "lang", id_col: str = "doc_id") -> dict[str, float]:
     """The lang_fit of a language that a long text of it reaches: what its labelled rows reach, less FIT_MARGIN."""
-    judged = predict(_sample(labelled, text_col, lang_col, id_col, max_docs)[1], model, with_fit=True).where("lang_pred = lang")
-    got = judged.groupBy("lang").agg(F.percentile("lang_fit", F.lit(FIT_SHARE)).alias("least")).collect()  # one row for each language
-    return {r["lang"]: r["least"] - FIT_MARGIN for r in got}
+    judged = predict(_labelled(labelled, text_col, lang_col, id_col), model, with_fit=True)
+    own = cut(judged.where("lang_pred = lang AND lang_fit IS NOT NULL").select("lang", "lang_fit"))
+    return {g: least - FIT_MARGIN for g, least in _lowest(own, FIT_SHARE).items()}
+
+
+def _lowest(rows: DataFrame, share: float) -> dict[str, float]:
+    """By lang the lang_fit that a share of its rows is below, of rank floor(share * (n - 1)) from 0.
+
+    Rows are counted in bins, then those of the bin with that rank in finer ones, and at last by value; so all rows
+    count, but only numbers of a few thousand bins for each language come to the driver."""
+    rank: dict[str, int] = {}
+    found: dict[str, float] = {}
+    for scale in (*FIT_BINS, None):
+        key = F.col("lang_fit") if scale is None else F.floor(F.col("lang_fit") * F.lit(scale))
+        bins: dict[str, list[tuple]] = {}
+        for r in rows.groupBy("lang", key.alias("bin")).agg(F.count("*").alias("n")).collect():
+            bins.setdefault(r["lang"], []).append((r["bin"], r["n"]))
+        for g, counts in bins.items():
+            rank.setdefault(g, int(share * (sum(n for _, n in counts) - 1)))
+            for found[g], n in sorted(counts):
+                if rank[g] < n:
+                    break
+                rank[g] -= n
+        if found and scale is not None:
+            rows = rows.where(key == F.create_map(*[F.lit(x) for kv in sorted(found.items()) for x in kv])[F.col("lang")])
+    return found
 
 
 def fits(least: dict[str, float]) -> F.Column:

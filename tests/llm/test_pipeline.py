@@ -1,5 +1,9 @@
 import hashlib
+import random
+import zlib
+from collections import Counter
 
+import numpy as np
 import pandas as pd
 import public_tokenizers
 import tiktoken
@@ -7,7 +11,7 @@ from test_minhash import brute
 from test_texts import brute_lines
 
 import corpus_pipeline
-from foliospark.llm import bpe, mixing
+from foliospark.llm import bpe, language_id, mixing
 
 
 def test_each_stage_on_its_own_input(spark, tmp_path):
@@ -112,3 +116,39 @@ def test_stages_begin_on_collected_heaps(spark):
         before = _full_collections(spark)
         stage(spark, docs, "/root/testdata/sf0.001")
         assert _full_collections(spark) > before, name
+
+
+def test_language_stage_learns_and_sets_limits_from_all_labelled_rows(spark, tmp_path, monkeypatch):
+    words = {"en": "all human beings are born free and equal in dignity and rights".split(), "fr": "tous les êtres humains naissent libres et égaux en dignité et en droits".split()}
+    draw = random.Random(3)
+    rows = [(i, lang, " ".join(draw.choices(words[lang], k=draw.randint(3, 9)))) for i in range(4000) for lang in ["fr" if i % 5 == 1 else "en"]]
+    frame = pd.DataFrame(rows, columns=["doc_id", "lang", "text"])
+    frame.to_parquet(tmp_path / "documents.parquet")
+    seen, own = [], language_id.least_fits
+    monkeypatch.setattr(language_id, "least_fits", lambda labelled, model: seen.extend([model, own(labelled, model)]) or seen[1])
+    docs = spark.read.parquet(str(tmp_path / "documents.parquet"))
+    assert corpus_pipeline.keep_known_languages(spark, docs, str(tmp_path)).count() > 3900
+    model, least = seen
+    labelled = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    assert min(Counter(r[1] for r in labelled).values()) > 100 and max(Counter(r[1] for r in labelled).values()) > language_id.MAX_DOCS
+    count = Counter((lang, w) for _, lang, text in labelled for w in text.split())
+    known = sorted({w for _, w in count})
+    counts = np.array([[count[lang, w] for lang in ("en", "fr")] for w in known], float)
+    probs = np.full_like(model.probs, 1 / model.trie.n, dtype=float)
+    for _ in range(2):
+        total = language_id.SMOOTHING + language_id.expected_counts(known, counts, model.trie, probs)
+        probs = total / total.sum(axis=1, keepdims=True)
+    assert model.langs == ["en", "fr"] and np.allclose(model.probs, probs, rtol=1e-5)
+    langs, _, fits, _ = language_id.Scorer(model).judge([r[2] for r in labelled])
+    for lang in ("en", "fr"):
+        reached = sorted(f for (_, g, _), h, f in zip(labelled, langs, fits, strict=True) if g == h == lang)
+        assert abs(least[lang] - (reached[int(0.01 * (len(reached) - 1))] - language_id.FIT_MARGIN)) < 1e-9
+
+
+def test_lowest_is_exact_among_equal_and_close_values(spark):
+    draw = random.Random(5)
+    values = {"a": [-2.5] * 700 + [-2.5 - k * 1e-13 for k in range(300)], "b": [draw.gauss(-3, 0.4) for _ in range(2001)], "c": [-1.0], "d": [-7.25, -0.125]}
+    rows = spark.createDataFrame([(g, v) for g, x in values.items() for v in x], "lang string, lang_fit double")
+    for share in (0.0, 0.01, 0.31, 1.0):
+        assert language_id._lowest(rows, share) == {g: sorted(x)[int(share * (len(x) - 1))] for g, x in values.items()}
+    assert language_id._lowest(rows.limit(0), 0.01) == {}
