@@ -18,9 +18,14 @@ def search(papers: DataFrame, query: str, max_results: int = 10) -> DataFrame:
     return papers.withColumn("score", score).where("score > 0").orderBy(F.desc("score"), "arxiv_id").limit(max_results)
 
 
+def rows_by_id(papers: DataFrame, arxiv_id: str) -> DataFrame:
+    """All rows with the paper's id, none if there are none. The id may have a version or be part of a URL."""
+    return papers.where(F.col("arxiv_id") == clean_arxiv_id(F.lit(arxiv_id)))
+
+
 def fetch_by_id(papers: DataFrame, arxiv_id: str):
-    """The paper's row; ValueError if there is none. The id may have a version or be part of a URL."""
-    found = papers.where(F.col("arxiv_id") == clean_arxiv_id(F.lit(arxiv_id))).head()
+    """The paper's row, any of them if several have its id (rows_by_id gives all); ValueError if there is none."""
+    found = rows_by_id(papers, arxiv_id).head()
     if found is None:
         raise ValueError(f"no paper {arxiv_id}")
     return found
