@@ -101,10 +101,14 @@ def number_in_source(value: Column, numbers: Column, tolerance: float = 0.05) ->
     return F.exists(numbers, lambda n: near(n, value) | near(n, value * 100) | near(n, value / 100))
 
 
-def value_in_source(value: Column, source: Column, tolerance: float = 0.05) -> Column:
-    """Numbers within the tolerance, in either form; other values as a part of the source, ignoring case."""
+def value_in_source(value: Column, source: Column, tolerance: float = 0.05, numeric: Column | None = None) -> Column:
+    """Numbers within the tolerance, in either form; other values as a part of the source, ignoring case.
+
+    numeric: whether a value is a number, where that is known; a text may consist of digits. By default what reads as one is.
+    """
     number = F.regexp_replace(strip(value), "%$", "").try_cast("double")
-    return F.when(number.isNotNull(), number_in_source(number, numbers_in(source), tolerance)).otherwise(F.lower(source).contains(F.lower(value)))
+    is_number = number.isNotNull() if numeric is None else numeric & number.isNotNull()
+    return F.when(is_number, number_in_source(number, numbers_in(source), tolerance)).otherwise(F.lower(source).contains(F.lower(value)))
 
 
 def _flag(df: DataFrame, kind: str, field: str, value: Column) -> DataFrame:
